@@ -341,7 +341,7 @@ def materialise_roundtrip(spark, folder):
 def recap_roundtrip(spark, folder):
     root = new_folder(spark, "recap")
     section = recap.price_table(returns_of(spark, folder))
-    tables.write_recap({"price_table": section}, root, run_moment())
+    tables.write_recap({"price_table": section}, root, RUN_DATE)
     return tables.read_recap(spark, root, "price_table", RUN_DATE, section.schema)
 
 
@@ -351,5 +351,5 @@ def recap_metrics(spark, folder):
     stored = tables.materialise(returns_of(spark, folder), root, "returns")
     checked = quality.quality_checks(prices(spark, folder), stored, universe(spark, folder), NARROW)
     sections = recap.recap(stored, news(spark, folder), checked, run_moment()).sections()
-    tables.write_recap(sections, f"{root}/sections", run_moment())
+    tables.write_recap(sections, f"{root}/sections", RUN_DATE)
     return tables.recap_metrics(spark, f"{root}/sections", RUN_DATE, list(sections)).select("section", "rows")

@@ -52,7 +52,7 @@ def _special(value: Column, finite: Column) -> Column:
 
 
 def fixed_text(value: Column, digits: int) -> Column:
-    """Fixed-point text, rounding the exact binary value (``2.675`` gives ``2.67``)."""
+    """Fixed-point text, rounding the exact binary value (``2.675`` gives ``2.67``); exact for magnitudes below 1e13."""
     return _special(value, F.call_function("format_number", value, F.lit("0." + "0" * digits)))
 
 
@@ -72,19 +72,13 @@ def ratio_text(value: Column) -> Column:
 def shortest_text(value: Column) -> Column:
     """The shortest text that reads back as the same number, plain between 1e-4 and 1e16, else with an exponent."""
     size = F.abs(value)
-    text = value.cast("string")
-    plain = F.rtrim(text.try_cast("decimal(38,21)").cast("string"), F.lit("0"))
+    # The platform's own text sometimes has one digit more than needed, so 16 digits are tried first.
+    short = F.format_string("%.15e", value)
+    digits = F.when(short.try_cast("double") == value, short).otherwise(F.format_string("%.16e", value))
+    plain = F.rtrim(digits.try_cast("decimal(38,21)").cast("string"), F.lit("0"))
     plain = F.when(plain.endswith("."), F.concat(plain, F.lit("0"))).otherwise(plain)
-    exponent = F.substring_index(text, "E", -1).try_cast("int")
-    scientific = F.concat(
-        F.regexp_replace(F.substring_index(text, "E", 1), r"\.0$", ""),
-        F.when(exponent < 0, F.lit("e-")).otherwise(F.lit("e+")),
-        F.lpad(F.abs(exponent).cast("string"), 2, "0"),
-    )
+    scientific = F.regexp_replace(digits, r"\.?0*e", "e")
     return _special(
         value,
-        F.when((size >= 1e-3) & (size < 1e7), text)
-        .when(size == 0, text)
-        .when((size >= 1e-4) & (size < 1e16), plain)
-        .otherwise(scientific),
+        F.when(size == 0, value.cast("string")).when((size >= 1e-4) & (size < 1e16), plain).otherwise(scientific),
     )

@@ -46,9 +46,11 @@ def running_number(df: DataFrame, ordering: list[Column], out: str) -> DataFrame
 
 def _field_text(name: str, dtype: str) -> Column:
     value = F.col(name)
+    if dtype == "string":
+        return text.csv_field(value)
     if dtype in ("double", "float"):
-        return F.when(~(value.isNull() | F.isnan(value)), numbers.shortest_text(value))
-    return value.cast("string")
+        return F.when(numbers.is_missing(name, dtype), "").otherwise(numbers.shortest_text(value))
+    return F.coalesce(value.cast("string"), F.lit(""))
 
 
 def csv_preview(df: DataFrame, ordering: list[Column], n: int, columns: list[str]) -> DataFrame:
@@ -56,7 +58,7 @@ def csv_preview(df: DataFrame, ordering: list[Column], n: int, columns: list[str
     types = dict(df.dtypes)
     head = top_rows(df, ordering, n).select(
         F.monotonically_increasing_id().alias("position"),
-        F.concat_ws(",", *[text.csv_field(_field_text(c, types[c])) for c in columns]).alias("line"),
+        F.concat_ws(",", *[_field_text(c, types[c]) for c in columns]).alias("line"),
     )
     lines = F.transform(F.array_sort(F.collect_list(F.struct("position", "line"))), lambda r: r["line"])
     header = F.array(F.lit(",".join(columns)))

@@ -16,9 +16,9 @@ def build_news(
     feeds: DataFrame, universe: DataFrame | None = None, keep_first: int | None = 3
 ) -> DataFrame:
     """The first ``keep_first`` articles of every symbol (None keeps all). No article at all is an empty table."""
-    if universe is not None:
-        feeds = feeds.join(universe.select("ticker"), "ticker", "left_semi")
     items = decode_feeds(feeds, keep_first=keep_first)
+    if universe is not None:
+        items = items.join(universe.select("ticker"), "ticker", "left_semi")
     if keep_first is not None and "part" in feeds.columns:
         items = series.first_rows(items, "ticker", ["seq"], keep_first)
     return items

@@ -27,9 +27,10 @@ def build_prices(
     part is cut first and the symbol's last bars are taken over its parts. Equal (ticker, date) bars are kept: the
     quality checks report them.
     """
-    if universe is not None:
-        payloads = payloads.join(universe.select("ticker"), "ticker", "left_semi")
     bars = decode_payloads(payloads, as_of=as_of, keep_last=keep_last)
+    if universe is not None:
+        # After decoding, so that a universe too large to broadcast moves short rows instead of documents.
+        bars = bars.join(universe.select("ticker"), "ticker", "left_semi")
     if keep_last is not None and "part" in payloads.columns:
         bars = last_bars(bars, keep_last)
     return bars

@@ -53,14 +53,11 @@ def refresh(
     )
     require_quality(report.summary, min_score)
 
+    spark, folder = universe.sparkSession, tables.dataset_path(root, "recap")
+    run_date = tables.run_date_of(spark, as_of)
     sections = recap(stored["returns"], stored["news"], report, as_of).sections()
-    tables.write_recap(sections, tables.dataset_path(root, "recap"), as_of)
-    stored["recap_metrics"] = tables.recap_metrics(
-        universe.sparkSession,
-        tables.dataset_path(root, "recap"),
-        as_of.strftime("%Y%m%d"),
-        list(sections),
-    )
+    tables.write_recap(sections, folder, run_date)
+    stored["recap_metrics"] = tables.recap_metrics(spark, folder, run_date, list(sections))
     stored["price_metrics"] = metrics.price_metrics(stored["prices"], universe)
     stored["news_metrics"] = metrics.news_metrics(stored["news"], universe)
     stored["returns_metrics"] = metrics.returns_metrics(stored["returns"])

@@ -25,16 +25,20 @@ def reload(spark: SparkSession, root: str, name: str, schema: T.StructType) -> D
     return spark.read.schema(schema).parquet(dataset_path(root, name))
 
 
-def write_recap(sections: dict[str, DataFrame], root: str, as_of: datetime | Column) -> None:
-    """Write every section into its run-date partition; a rerun on the same day replaces that partition only."""
+def run_date_of(spark: SparkSession, as_of: datetime | Column) -> str:
+    """The run stamp as text, in the session's zone like every printed date."""
+    return spark.range(1).select(dates.run_stamp(as_of)).first()[0]
+
+
+def run_path(root: str, name: str, run_date: str) -> str:
+    return f"{dataset_path(root, name)}/run_date={run_date}"
+
+
+def write_recap(sections: dict[str, DataFrame], root: str, run_date: str) -> None:
+    """Write every section into its run-date partition. A rerun on the same day replaces that partition, also by an
+    empty section, and leaves other days alone."""
     for name, section in sections.items():
-        (
-            section.withColumn("run_date", dates.run_stamp(as_of))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("run_date")
-            .parquet(dataset_path(root, name))
-        )
+        section.write.mode("overwrite").parquet(run_path(root, name, run_date))
 
 
 def read_recap(spark: SparkSession, root: str, name: str, run_date: str, schema: T.StructType) -> DataFrame:
@@ -48,17 +52,16 @@ def recap_metrics(spark: SparkSession, root: str, run_date: str, names: list[str
     """Per written section: path, rows and size in kB."""
 
     def section(name: str) -> DataFrame:
-        path = dataset_path(root, name)
+        path = run_path(root, name, run_date)
         per_file = (
             spark.read.parquet(path)
-            .where(F.col("run_date") == run_date)
             .groupBy(F.col("_metadata.file_path").alias("file"))
             .agg(F.count(F.lit(1)).alias("n"), F.max("_metadata.file_size").alias("bytes"))
         )
         size = F.coalesce(F.sum("bytes"), F.lit(0)) / 1024.0
         return per_file.agg(
             F.lit(name).alias("section"),
-            F.lit(f"{path}/run_date={run_date}").alias("path"),
+            F.lit(path).alias("path"),
             F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
             numbers.round_half_even(size).alias("size_kb"),
         )

@@ -36,6 +36,15 @@ def ordinal(documents: DataFrame, position: Column) -> Column:
     return F.shiftleft(part.cast("bigint"), 32) + position.cast("bigint")
 
 
+def evaluated(df: DataFrame, keep: list[str], columns: Column) -> DataFrame:
+    """Append the fields of the struct ``columns`` to the ``keep`` columns, evaluating the struct once per row.
+
+    Spark moves filters below projections and copies the expressions they mention; a filter on a parsed document would
+    parse it again. Filters do not move below a generator, so the struct passes through a one-element ``inline``.
+    """
+    return df.select(*keep, F.inline(F.array(columns)))
+
+
 def decode_payloads(
     payloads: DataFrame,
     as_of: datetime | Column | None = None,
@@ -47,15 +56,13 @@ def decode_payloads(
     A document that cannot be decoded in full gives no rows at all; other documents are not affected. ``as_of`` limits
     the bars to the ``days`` before it, ``keep_last`` to the last bars of each document.
     """
-    documents = answered(payloads).where(F.endswith(F.rtrim("body", F.lit(" \t\r\n")), F.lit("}")))
-    result = F.get(F.from_json("body", schemas.PAYLOAD_BODY, JSON_OPTIONS)["chart"]["result"], F.lit(0))
-    documents = documents.withColumn("result", result)
-    quote = F.get(F.col("result.indicators.quote"), F.lit(0))
-    documents = documents.select(
-        *[c for c in ("ticker", "part") if c in documents.columns],
-        F.col("result.timestamp").alias("timestamp"),
-        *[quote[name].alias(name) for name in QUOTE_FIELDS],
-    )
+    documents = answered(payloads)
+    keys = [c for c in ("ticker", "part") if c in documents.columns]
+    complete = F.endswith(F.rtrim("body", F.lit(" \t\r\n")), F.lit("}"))
+    parsed = F.from_json("body", schemas.PAYLOAD_BODY, JSON_OPTIONS)["chart"]["result"]
+    documents = evaluated(documents, keys, F.when(complete, F.get(parsed, F.lit(0))))
+    quote = F.get(F.col("indicators.quote"), F.lit(0))
+    documents = documents.select(*keys, "timestamp", *[quote[name].alias(name) for name in QUOTE_FIELDS])
 
     # The arrays are zipped by position up to the number of timestamps; bars without a close are not kept.
     count = F.size("timestamp")
@@ -65,20 +72,21 @@ def decode_payloads(
         lambda bar, i: F.struct(i.alias("pos"), *[bar[c].alias(c) for c in ("timestamp", *QUOTE_FIELDS)]),
     )
     kept = F.filter(bars, lambda bar: bar["close"].isNotNull())
-    documents = documents.where((F.size("close") >= count) & (count > 0)).withColumn("kept", kept)
+    others = [name for name in QUOTE_FIELDS if name != "close"]
+    shortest = F.least(*[F.coalesce(F.size(name), F.lit(-1)) for name in others])
+    documents = evaluated(
+        documents.where((F.size("close") >= count) & (count > 0)),
+        keys,
+        F.struct(kept.alias("kept"), shortest.alias("shortest")),
+    )
 
     # Every other array must reach the last kept bar, and each kept bar must hold storable values.
-    last = F.try_element_at("kept", F.lit(-1))["pos"]
-    for name in QUOTE_FIELDS:
-        if name != "close":
-            documents = documents.where(F.size(name) > last)
-    documents = documents.where(
-        F.forall(
-            "kept",
-            lambda bar: F.coalesce(F.abs(bar["timestamp"]) < MAX_EPOCH, F.lit(False))
-            & (F.abs(numbers.or_zero(bar["volume"])) < MAX_VOLUME),
-        )
+    storable = F.forall(
+        "kept",
+        lambda bar: F.coalesce(F.abs(bar["timestamp"]) < MAX_EPOCH, F.lit(False))
+        & (F.abs(numbers.or_zero(bar["volume"])) < MAX_VOLUME),
     )
+    documents = documents.where((F.col("shortest") > F.try_element_at("kept", F.lit(-1))["pos"]) & storable)
 
     kept = F.col("kept")
     if as_of is not None:
@@ -87,9 +95,7 @@ def decode_payloads(
     if keep_last is not None:
         kept = F.when(F.size(kept) > keep_last, F.slice(kept, -keep_last, keep_last)).otherwise(kept)
 
-    rows = documents.select(
-        "ticker", *(["part"] if "part" in documents.columns else []), F.explode(kept).alias("bar")
-    )
+    rows = documents.select(*keys, F.explode(kept).alias("bar"))
     bar = F.col("bar")
     return rows.select(
         "ticker",
@@ -107,17 +113,11 @@ def decode_feeds(feeds: DataFrame, keep_first: int | None = None) -> DataFrame:
     An absent field becomes ``N/A`` (the link: empty); a present but empty one stays empty.
     """
     documents = answered(feeds)
-    documents = documents.withColumn(
-        "items", F.from_xml("body", schemas.FEED_BODY, XML_OPTIONS)["channel"]["item"]
-    )
-    items = F.col("items")
+    items = F.from_xml("body", schemas.FEED_BODY, XML_OPTIONS)["channel"]["item"]
     if keep_first is not None:
         items = F.slice(items, 1, keep_first)
-    rows = documents.select(
-        "ticker",
-        *(["part"] if "part" in documents.columns else []),
-        F.posexplode(items).alias("pos", "item"),
-    )
+    keys = [c for c in ("ticker", "part") if c in documents.columns]
+    rows = documents.select(*keys, F.posexplode(items).alias("pos", "item"))
     item = F.col("item")
     absent = F.lit("N/A")
     return rows.select(
