@@ -13,17 +13,32 @@ SPLIT_ROWS = 1_000_000
 # the ordinary path serves it without loss.
 HOT_KEYS = 4_096
 
+# Large keys are recognised from one row in this many, but never from fewer than about SURE_ROWS rows of a key.
+SIZING_SHARE = 64
+SURE_ROWS = 1_000
+
 
 def key_counts(df: DataFrame, keys: list[str]) -> DataFrame:
     """Rows per key, combined before the shuffle."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
 
 
-def hot_keys(counts: DataFrame, keys: list[str], split_rows: int = SPLIT_ROWS) -> DataFrame:
+def hot_keys(counts: DataFrame, keys: list[str], split_rows: float = SPLIT_ROWS) -> DataFrame:
     """The largest keys above ``split_rows``, at most HOT_KEYS of them."""
     return counts.where(F.col("n") > split_rows).orderBy(F.desc("n"), *keys).limit(HOT_KEYS).select(*keys)
 
 
+def long_series(df: DataFrame, key: str, order: list[str], split_rows: int = SPLIT_ROWS) -> DataFrame:
+    """Keys with about ``split_rows`` rows or more, sized from a share of the rows.
+
+    This only decides which of two exact routes a key takes, so an estimate is enough and saves shuffling a count for
+    every key of the table. The share is chosen by a hash of the order columns and is the same on every evaluation:
+    all readers of the result agree on the route of every key.
+    """
+    share = max(1, min(SIZING_SHARE, split_rows // SURE_ROWS))
+    sized = df if share == 1 else df.where(F.pmod(F.xxhash64(*order), F.lit(share)) == 0)
+    return hot_keys(key_counts(sized, [key]), [key], split_rows / share)
+
 
 def keep_matching(df: DataFrame, keys_table: DataFrame, keys: list[str], how: str) -> DataFrame:
     """``df`` with (left_semi) or without (left_anti) the rows whose key is in ``keys_table``; missing equals missing."""

@@ -18,13 +18,14 @@ def previous_value(
     """Add the value of the preceding row of the same key. Rows without a key are dropped.
 
     Ordinary keys take one window over ``key``. Keys above ``split_rows`` are split along the order instead, see
-    ``_previous_in_slices``. With ``split_rows=None`` the caller vouches that every key is short.
-    The order columns together must be unique within a key.
+    ``_previous_in_slices``; without such keys the adaptive planner drops that route and its join. With
+    ``split_rows=None`` the caller vouches that every key is short.
+    The order columns together must be unique within a key. ``df`` is read more than once: store expensive inputs.
     """
     keyed = df.where(F.col(key).isNotNull())
     if split_rows is None:
         return _previous(keyed, key, order, value, out)
-    large = F.broadcast(hot.hot_keys(hot.key_counts(keyed, [key]), [key], split_rows))
+    large = F.broadcast(hot.long_series(keyed, key, order, split_rows))
     ordinary = keyed.join(large, key, "left_anti")
     split = keyed.join(large, key, "left_semi")
     return _previous(ordinary, key, order, value, out).unionByName(

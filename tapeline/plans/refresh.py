@@ -34,12 +34,14 @@ def refresh(
     after the news is stored; no news at all does not.
     """
     stored: dict[str, DataFrame] = {}
-    stored["news"] = tables.materialise(build_news(feeds, universe, keep_first), root, "news")
+    stored["news"] = tables.materialise(
+        build_news(feeds, universe, keep_first), root, "news", compact=True
+    )
     window_end = as_of if limit_to_window else None
     # Looking for a first bar needs no shuffle, and a failed refresh leaves the stored prices untouched.
     require_prices(build_prices(payloads, universe, window_end, keep_last=None))
     prices = build_prices(payloads, universe, window_end, keep_last)
-    stored["prices"] = tables.materialise(prices, root, "prices")
+    stored["prices"] = tables.materialise(prices, root, "prices", compact=True)
     # With a limit on bars per symbol no series is long enough to need splitting.
     returns = build_returns(stored["prices"], split_rows=None) if keep_last else build_returns(stored["prices"])
     stored["returns"] = tables.materialise(returns, root, "returns")

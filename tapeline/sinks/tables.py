@@ -14,10 +14,14 @@ def dataset_path(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{name}"
 
 
-def materialise(df: DataFrame, root: str, name: str) -> DataFrame:
-    """Write a dataset under its name, replacing the previous one, and return it as read back."""
-    path = dataset_path(root, name)
-    df.write.mode("overwrite").parquet(path)
+def materialise(df: DataFrame, root: str, name: str, compact: bool = False) -> DataFrame:
+    """Write a dataset under its name, replacing the previous one, and return it as read back.
+
+    ``compact`` is for datasets far smaller than the documents they come from: rows are rebalanced into files of the
+    adaptive planner's target size instead of one small file per input split.
+    """
+    rows = df.hint("rebalance") if compact else df
+    rows.write.mode("overwrite").parquet(dataset_path(root, name))
     return reload(df.sparkSession, root, name, df.schema)
 
 

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tapeline.functions import numbers
-from tapeline.operators import series
+from tapeline.operators import keys, series
 from tapeline.plans import recap
 from tapeline.plans.returns import build_returns, top_performers
 
@@ -89,6 +89,17 @@ def test_long_series_are_split_without_a_difference(spark, split_rows):
     assert result(split_rows) == result(None)
 
 
+def test_long_series_are_found_from_a_share_of_the_rows(spark):
+    rows = [("hot", i % 11, 1.0 + i % 7) for i in range(12_000)] + [(f"t{i % 50}", i, 2.0 + i % 5) for i in range(4_000)]
+    df = prices(spark, rows).repartition(6)
+    assert [r.ticker for r in keys.long_series(df, "ticker", ["date", "seq"], 8_000).collect()] == ["hot"]
+    assert keys.long_series(df, "ticker", ["date", "seq"], 16_000).isEmpty()
+    frames = [build_returns(df, split_rows=limit) for limit in (8_000, None)]
+    split, plain = (sorted(map(str, frame.collect())) for frame in frames)
+    assert split == plain
+    assert "rangepartitioning" in frames[0]._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+
+
 def test_every_slice_may_be_a_single_row(spark):
     df = prices(spark, [("h", i % 3, float(i)) for i in range(30)])
     before = spark.conf.get("spark.sql.shuffle.partitions")
