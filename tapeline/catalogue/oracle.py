@@ -130,7 +130,7 @@ RETURN_COLUMNS = ["ticker", "date", "close", "prev_close", "daily_return", "retu
 PRICE_TABLE = f"SELECT ticker, date, seq, close, daily_return, return_pct, {LABELS} FROM returns"
 
 SYMBOL = "CASE WHEN c_mktsegment = 'MACHINERY' THEN c_name || '-USD' ELSE c_name END"
-RUN_SECONDS = 996624000
+RUN_SECONDS = 996667200
 
 ORACLE: dict[str, str] = {
     "returns": f"WITH {PRICES}, {RETURNS} SELECT * FROM returns",
@@ -153,7 +153,7 @@ SELECT CAST(row_number() OVER (ORDER BY part, check_id) - 1 AS INTEGER) AS line_
     "build_prices": f"""WITH {BARS} SELECT * EXCLUDE (o_orderkey) FROM bars
 QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY o_orderkey DESC) <= 2""",
     "build_prices_in_window": f"""WITH {BARS} SELECT * EXCLUDE (o_orderkey) FROM bars
-WHERE date BETWEEN DATE '2001-07-25' AND DATE '2001-08-01'""",
+WHERE date BETWEEN DATE '2001-07-26' AND DATE '2001-08-01'""",
     "last_bars": f"""WITH {PRICES} SELECT * FROM prices
 QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY seq DESC) <= 2""",
     "feed_items": f"WITH {NEWS} SELECT * EXCLUDE (seq) FROM news",

@@ -19,7 +19,7 @@ from tapeline.sources.documents import decode_payloads
 # Thresholds under which the provided tables pass some checks and fail others.
 NARROW = Thresholds(min_price=2_000.0, max_price=499_000.0)
 
-RUN_MOMENT = "2001-08-01 00:00:00Z"
+RUN_MOMENT = "2001-08-01 12:00:00Z"
 RUN_DATE = "20010801"
 RECENT_FROM = "2001-05-01"
 EVENTS_MOMENT = "2024-01-27 00:00:00Z"
@@ -323,7 +323,7 @@ def price_labels(spark, folder):
         "return_pct_label",
         numbers.shortest_text(F.col("return_pct")).alias("return_pct_text"),
         numbers.round_half_even(F.col("return_pct")).alias("return_pct_rounded"),
-        F.when(F.col("return_pct") > 0, "green").otherwise("red").alias("direction"),
+        return_plans.direction(F.col("return_pct")).alias("direction"),
         dates.run_stamp(run_moment()).alias("run_date"),
         dates.run_title(run_moment()).alias("run_title"),
     )

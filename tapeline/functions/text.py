@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-CRYPTO_SUFFIX = "-USD"
+from tapeline import wording
 
 
 def search_phrase(ticker: Column) -> Column:
     """``BTC-USD`` is searched as ``BTC crypto``, any other symbol as ``<symbol> stock``."""
-    return F.when(
-        ticker.endswith(CRYPTO_SUFFIX), F.replace(ticker, F.lit(CRYPTO_SUFFIX), F.lit(" crypto"))
-    ).otherwise(F.concat(ticker, F.lit(" stock")))
+    crypto = F.replace(ticker, F.lit(wording.CRYPTO_SUFFIX), F.lit(wording.CRYPTO_PHRASE))
+    stock = F.concat(ticker, F.lit(wording.STOCK_PHRASE))
+    return F.when(ticker.endswith(wording.CRYPTO_SUFFIX), crypto).otherwise(stock)
 
 
 def url_text(value: Column) -> Column:
@@ -21,26 +21,26 @@ def url_text(value: Column) -> Column:
 
 def printed(value: Column) -> Column:
     """A text inside a sentence; a missing one is spelled out."""
-    return F.coalesce(value, F.lit("None"))
+    return F.coalesce(value, F.lit(wording.NOTHING))
 
 
 def read_more(link: Column) -> Column:
     """Link markup, or nothing when there is no link."""
-    markup = F.concat(F.lit(' <link href="'), link, F.lit('">Read more</link>'))
-    return F.when(link.isNotNull() & (link != ""), markup).otherwise(F.lit(""))
+    present = link.isNotNull() & (link != "")
+    return F.when(present, F.format_string(wording.READ_MORE, link)).otherwise(F.lit(""))
 
 
 def headline(number: Column, ticker: Column, title: Column) -> Column:
-    return F.concat(number.cast("string"), F.lit(". ["), ticker, F.lit("] "), printed(title))
+    return F.format_string(wording.HEADLINE, number, ticker, printed(title))
 
 
 def byline(publisher: Column, published_date: Column) -> Column:
-    return F.concat(printed(publisher), F.lit(" - "), printed(published_date))
+    return F.format_string(wording.BYLINE, printed(publisher), printed(published_date))
 
 
 def joined_or_none(texts: Column, separator: str) -> Column:
     """The array's texts joined, or ``None`` for an empty array."""
-    return F.when(F.size(texts) > 0, F.array_join(texts, separator)).otherwise(F.lit("None"))
+    return F.when(F.size(texts) > 0, F.array_join(texts, separator)).otherwise(F.lit(wording.NOTHING))
 
 
 def csv_field(text: Column) -> Column:

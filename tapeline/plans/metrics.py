@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tapeline import schemas
+from tapeline import schemas, wording
 from tapeline.functions import dates, numbers, text
 from tapeline.operators import ordering, single_rows
 from tapeline.plans.returns import best_first
@@ -41,8 +41,8 @@ def date_range(prices: DataFrame) -> DataFrame:
     span = prices.agg(F.min("date").alias("first_date"), F.max("date").alias("last_date"))
     return span.withColumn(
         "date_range",
-        F.concat(
-            dates.midnight_text(F.col("first_date")), F.lit(" to "), dates.midnight_text(F.col("last_date"))
+        F.format_string(
+            wording.DATE_RANGE, dates.midnight_text(F.col("first_date")), dates.midnight_text(F.col("last_date"))
         ),
     )
 
@@ -75,7 +75,7 @@ def news_metrics(news: DataFrame, universe: DataFrame | None = None) -> DataFram
         news.agg(
             F.count(F.lit(1)).alias("num_news"), F.count_distinct("ticker").alias("num_tickers_with_news")
         ),
-        preview.select(F.when(F.col("rows") > 0, F.col("csv")).otherwise("No news").alias("preview")),
+        preview.select(F.when(F.col("rows") > 0, F.col("csv")).otherwise(wording.NO_NEWS).alias("preview")),
     )
 
 
@@ -108,6 +108,6 @@ def quality_metrics(summary: DataFrame) -> DataFrame:
         F.size("checks_passed").alias("checks_passed"),
         F.size("checks_failed").alias("checks_failed"),
         "warnings",
-        F.array_join(bullets("checks_passed", "✅ "), "\n").alias("passed_checks"),
-        text.joined_or_none(bullets("checks_failed", "❌ "), "\n").alias("failed_checks"),
+        F.array_join(bullets("checks_passed", wording.PASSED_BULLET), "\n").alias("passed_checks"),
+        text.joined_or_none(bullets("checks_failed", wording.FAILED_BULLET), "\n").alias("failed_checks"),
     )

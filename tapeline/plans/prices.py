@@ -6,7 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 
-from tapeline import schemas
+from tapeline import schemas, wording
 from tapeline.operators import series
 from tapeline.sources.documents import decode_payloads
 
@@ -44,5 +44,5 @@ def last_bars(prices: DataFrame, n: int = 2) -> DataFrame:
 def require_prices(prices: DataFrame) -> DataFrame:
     """Raise when there is no price row at all."""
     if prices.isEmpty():
-        raise NoPriceData("No price data retrieved")
+        raise NoPriceData(wording.NO_PRICE_DATA)
     return prices

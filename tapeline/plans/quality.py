@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tapeline import schemas
+from tapeline import schemas, wording
 from tapeline.functions import numbers, text
 from tapeline.operators import single_rows
 from tapeline.settings import Thresholds
@@ -102,90 +102,46 @@ def _ratio(part: str, whole: str) -> Column:
 def evaluate(statistics: DataFrame, thresholds: Thresholds) -> DataFrame:
     """The five checks as rows from one record of statistics.
 
-    Checks 3 and 4 never fail: they pass or warn, and a warned check does not count in the score. The message texts
-    are fixed values.
+    Checks 3 and 4 never fail: they pass or warn, and a warned check does not count in the score.
     """
-    required = f"{thresholds.min_data_completeness:.1%}"
     ratio = F.col("data_completeness")
     missing = F.col("missing_prices") + F.col("missing_returns")
-
-    def count_text(name: str) -> Column:
-        return F.col(name).cast("string")
-
-    def check(number, name, good, otherwise, observed, threshold, good_text, bad_text) -> Column:
-        return F.struct(
-            F.lit(number).alias("check_id"),
-            F.lit(name).alias("name"),
-            F.when(good, F.lit("passed")).otherwise(F.lit(otherwise)).alias("status"),
-            observed.cast("double").alias("observed"),
-            F.lit(float(threshold)).alias("threshold"),
-            F.when(good, good_text).otherwise(bad_text).alias("message"),
-        )
-
-    prefix = F.concat(F.lit("Data completeness: "), numbers.ratio_text(ratio))
-    checks = F.array(
-        check(
-            1,
+    required = F.lit(f"{thresholds.min_data_completeness:.1%}")
+    # Name, condition to pass, status otherwise, observed value, its limit, values of the message.
+    rules = [
+        (
             "completeness",
             ratio >= thresholds.min_data_completeness,
             "failed",
             ratio,
             thresholds.min_data_completeness,
-            F.concat(prefix, F.lit(f" (>= {required})")),
-            F.concat(prefix, F.lit(f" (< {required})")),
-        ),
-        check(
-            2,
-            "price_range",
-            F.col("invalid_prices") == 0,
-            "failed",
-            F.col("invalid_prices"),
-            0,
-            F.lit("All prices within valid range"),
-            F.concat(F.lit("Found "), count_text("invalid_prices"), F.lit(" prices outside valid range")),
-        ),
-        check(
-            3,
-            "missing_values",
-            missing == 0,
-            "warned",
-            missing,
-            0,
-            F.lit("No missing values detected"),
-            F.concat(
-                F.lit("Missing values: "),
-                count_text("missing_prices"),
-                F.lit(" in prices, "),
-                count_text("missing_returns"),
-                F.lit(" in returns"),
-            ),
-        ),
-        check(
-            4,
-            "outliers",
-            F.col("outliers") == 0,
-            "warned",
-            F.col("outliers"),
-            0,
-            F.lit("No extreme return outliers detected"),
-            F.concat(
-                F.lit("Found "),
-                count_text("outliers"),
-                F.lit(f" extreme returns (>{thresholds.max_return_pct}%)"),
-            ),
+            [numbers.ratio_text(ratio), required],
         ),
-        check(
-            5,
-            "duplicates",
-            F.col("duplicates") == 0,
-            "failed",
-            F.col("duplicates"),
-            0,
-            F.lit("No duplicate records found"),
-            F.concat(F.lit("Found "), count_text("duplicates"), F.lit(" duplicate records")),
-        ),
-    )
-    return statistics.select(F.inline(checks))
+        _none_allowed("price_range", "failed", F.col("invalid_prices")),
+        _none_allowed("missing_values", "warned", missing, F.col("missing_prices"), F.col("missing_returns")),
+        _none_allowed("outliers", "warned", F.col("outliers"), F.col("outliers"), F.lit(str(thresholds.max_return_pct))),
+        _none_allowed("duplicates", "failed", F.col("duplicates")),
+    ]
+    checks = []
+    for number, (name, good, otherwise, observed, limit, values) in enumerate(rules, 1):
+        passed_text, other_text = wording.CHECK_MESSAGES[name]
+        checks.append(
+            F.struct(
+                F.lit(number).alias("check_id"),
+                F.lit(name).alias("name"),
+                F.when(good, F.lit("passed")).otherwise(F.lit(otherwise)).alias("status"),
+                observed.cast("double").alias("observed"),
+                F.lit(float(limit)).alias("threshold"),
+                F.when(good, F.format_string(passed_text, *values))
+                .otherwise(F.format_string(other_text, *values))
+                .alias("message"),
+            )
+        )
+    return statistics.select(F.inline(F.array(*checks)))
+
+
+def _none_allowed(name: str, otherwise: str, observed: Column, *values: Column) -> tuple:
+    return name, observed == 0, otherwise, observed, 0, list(values) or [observed]
 
 
 def collect_checks(
@@ -245,8 +201,8 @@ def warning_records(
         F.lit(4).alias("check_id"),
         "ticker",
         F.col("return_pct").alias("value"),
-        F.concat(
-            text.printed(F.col("ticker")), F.lit(": "), numbers.percent_text(F.col("return_pct"))
+        F.format_string(
+            wording.OUTLIER, text.printed(F.col("ticker")), numbers.percent_text(F.col("return_pct"))
         ).alias("message"),
     )
     return messages.unionByName(prices_found, allowMissingColumns=True).unionByName(returns_found)

@@ -7,7 +7,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tapeline import schemas
+from tapeline import schemas, wording
 from tapeline.functions import dates, numbers
 from tapeline.operators import single_rows
 from tapeline.plans.news import news_digest
@@ -45,7 +45,7 @@ def recap_summary(returns: DataFrame, quality_summary: DataFrame, as_of: datetim
     """The executive summary: numbers and their printed forms in one row."""
     combined = single_rows.combine(market_summary(returns), quality_summary.select("quality_score"))
     return combined.select(
-        F.concat(F.lit("Daily Market Recap - "), dates.run_title(as_of)).alias("title"),
+        F.format_string(wording.RECAP_TITLE, dates.run_title(as_of)).alias("title"),
         *combined.columns,
         numbers.percent_text(F.col("avg_return_pct")).alias("avg_return_label"),
         numbers.ratio_text(F.col("quality_score")).alias("quality_score_label"),
@@ -75,16 +75,16 @@ def price_table(returns: DataFrame) -> DataFrame:
 def quality_lines(summary: DataFrame) -> DataFrame:
     """The printed quality section: score, then passed and failed checks (a dozen lines at most)."""
 
-    def section(title: str, column: str, mark: str) -> Column:
-        heading = F.concat(F.lit(f"{title} ("), F.size(column).cast("string"), F.lit("):"))
+    def section(heading: str, column: str, mark: str) -> Column:
+        heading = F.format_string(heading, F.size(column))
         return F.concat(F.array(heading), F.transform(column, lambda m: F.concat(F.lit(mark), m)))
 
     lines = F.concat(
-        F.array(F.concat(F.lit("Quality Score: "), numbers.ratio_text(F.col("quality_score")))),
-        section("Checks Passed", "checks_passed", "✓ "),
-        F.when(F.size("checks_failed") > 0, section("Checks Failed", "checks_failed", "✗ ")).otherwise(
-            F.array().cast("array<string>")
-        ),
+        F.array(F.format_string(wording.QUALITY_SCORE, numbers.ratio_text(F.col("quality_score")))),
+        section(wording.PASSED_HEADING, "checks_passed", wording.PASSED_MARK),
+        F.when(
+            F.size("checks_failed") > 0, section(wording.FAILED_HEADING, "checks_failed", wording.FAILED_MARK)
+        ).otherwise(F.array().cast("array<string>")),
     )
     return summary.select(F.posexplode(lines).alias("line_no", "line"))
 

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from tapeline import schemas
+from tapeline import schemas, wording
 from tapeline.functions import numbers
 from tapeline.operators import keys, ordering, series
 
@@ -37,13 +37,18 @@ def best_first() -> list:
     return ordering.highest_first("return_pct", "ticker", "date", "seq")
 
 
+def direction(change: Column) -> Column:
+    """The colour of a return; zero and missing count as a loss."""
+    return F.when(change > 0, F.lit(wording.GAIN_COLOUR)).otherwise(F.lit(wording.LOSS_COLOUR))
+
+
 def top_performers(returns: DataFrame, n: int = TOP_PERFORMERS) -> DataFrame:
-    """The ``n`` highest returns with their bar colour (zero is red)."""
+    """The ``n`` highest returns with their bar colour."""
     top = ordering.top_rows(schemas.conform(returns, schemas.RETURNS), best_first(), n)
     return top.select(
         "ticker",
         "date",
         "seq",
         "return_pct",
-        F.when(F.col("return_pct") > 0, F.lit("green")).otherwise(F.lit("red")).alias("direction"),
+        direction(F.col("return_pct")).alias("direction"),
     )

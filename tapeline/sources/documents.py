@@ -10,7 +10,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tapeline import schemas
+from tapeline import schemas, wording
 from tapeline.functions import dates, numbers
 
 HTTP_OK = 200
@@ -119,7 +119,7 @@ def decode_feeds(feeds: DataFrame, keep_first: int | None = None) -> DataFrame:
     keys = [c for c in ("ticker", "part") if c in documents.columns]
     rows = documents.select(*keys, F.posexplode(items).alias("pos", "item"))
     item = F.col("item")
-    absent = F.lit("N/A")
+    absent = F.lit(wording.ABSENT)
     return rows.select(
         "ticker",
         F.coalesce(item["title"], absent).alias("title"),
