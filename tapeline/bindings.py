@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tapeline.functions import dates
+from tapeline.settings import universe_of
 
 # Size bounds of a rendered document. Order and document numbers are unique, so no group exceeds them.
 BARS_PER_DOCUMENT = 50_000
@@ -30,11 +31,7 @@ def prices_from_orders(orders: DataFrame) -> DataFrame:
 
 
 def universe_from_customers(customers: DataFrame) -> DataFrame:
-    return customers.select(
-        F.col("c_custkey").cast("string").alias("ticker"),
-        F.col("c_mktsegment").alias("segment"),
-        F.col("c_custkey").alias("position"),
-    )
+    return universe_of(customers, "c_custkey", "c_mktsegment", "c_custkey")
 
 
 def news_from_documents(documents: DataFrame) -> DataFrame:

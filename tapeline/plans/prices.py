@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tapeline import schemas, wording
+from tapeline.functions import dates
 from tapeline.operators import series
 from tapeline.sources.documents import decode_payloads
 
@@ -36,6 +37,12 @@ def build_prices(
     return bars
 
 
+def coerce_dates(prices: DataFrame) -> DataFrame:
+    """A price table from elsewhere whose dates are texts or timestamps, with dates as the plans expect them."""
+    dtype = dict(prices.dtypes)["date"]
+    return prices if dtype == "date" else prices.withColumn("date", dates.coerce_date(F.col("date"), dtype))
+
+
 def last_bars(prices: DataFrame, n: int = 2) -> DataFrame:
     """The last ``n`` bars of every symbol in arrival order."""
     return series.last_rows(schemas.conform_prices(prices), "ticker", ["seq"], n)

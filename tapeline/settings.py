@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tapeline.schemas import UNIVERSE
 
@@ -35,3 +35,12 @@ def default_universe(spark: SparkSession) -> DataFrame:
     symbols = [(s, segment) for segment, names in DEFAULT_SYMBOLS.items() for s in names.split()]
     rows = [(symbol, segment, i) for i, (symbol, segment) in enumerate(symbols, 1)]
     return spark.createDataFrame(rows, UNIVERSE)
+
+
+def universe_of(table: DataFrame, ticker: str, segment: str | None = None, position: str | None = None) -> DataFrame:
+    """A universe from any table with one row per symbol; without a position the symbol order applies."""
+    return table.select(
+        F.col(ticker).cast("string").alias("ticker"),
+        (F.col(segment) if segment else F.lit(None)).cast("string").alias("segment"),
+        (F.col(position) if position else F.lit(0)).cast("bigint").alias("position"),
+    )
