@@ -64,48 +64,57 @@ def decode_payloads(
     quote = F.get(F.col("indicators.quote"), F.lit(0))
     documents = documents.select(*keys, "timestamp", *[quote[name].alias(name) for name in QUOTE_FIELDS])
 
-    # The arrays are zipped by position up to the number of timestamps; bars without a close are not kept.
+    # The arrays belong together by position, up to the number of timestamps; bars without a close are not kept.
     count = F.size("timestamp")
-    bars = F.slice(F.arrays_zip("timestamp", *QUOTE_FIELDS), F.lit(1), count)
-    bars = F.transform(
-        bars,
-        lambda bar, i: F.struct(i.alias("pos"), *[bar[c].alias(c) for c in ("timestamp", *QUOTE_FIELDS)]),
-    )
-    kept = F.filter(bars, lambda bar: bar["close"].isNotNull())
-    others = [name for name in QUOTE_FIELDS if name != "close"]
-    shortest = F.least(*[F.coalesce(F.size(name), F.lit(-1)) for name in others])
+    closes = F.slice("close", F.lit(1), count)
+    kept = F.array_compact(F.transform(closes, lambda close, i: F.when(close.isNotNull(), i)))
+    arrays = ["timestamp", *QUOTE_FIELDS]
     documents = evaluated(
-        documents.where((F.size("close") >= count) & (count > 0)),
-        keys,
-        F.struct(kept.alias("kept"), shortest.alias("shortest")),
+        documents.where((F.size("close") >= count) & (count > 0)), [*keys, *arrays], F.struct(kept.alias("kept"))
     )
 
     # Every other array must reach the last kept bar, and each kept bar must hold storable values.
-    storable = F.forall(
-        "kept",
-        lambda bar: F.coalesce(F.abs(bar["timestamp"]) < MAX_EPOCH, F.lit(False))
-        & (F.abs(numbers.or_zero(bar["volume"])) < MAX_VOLUME),
-    )
-    documents = documents.where((F.col("shortest") > F.try_element_at("kept", F.lit(-1))["pos"]) & storable)
+    reach = F.least(*[F.coalesce(F.size(name), F.lit(-1)) for name in arrays])
+    documents = documents.where((reach > F.try_element_at("kept", F.lit(-1))) & _storable())
 
     kept = F.col("kept")
     if as_of is not None:
         start, end = dates.lookback_bounds(as_of, days)
-        kept = F.filter(kept, lambda bar: bar["timestamp"].between(start, end))
+        kept = F.filter(kept, lambda i: F.get("timestamp", i).between(start, end))
     if keep_last is not None:
         kept = F.when(F.size(kept) > keep_last, F.slice(kept, -keep_last, keep_last)).otherwise(kept)
 
-    rows = documents.select(*keys, F.explode(kept).alias("bar"))
-    bar = F.col("bar")
+    rows = documents.select(*keys, *arrays, F.explode(kept).alias("pos"))
+    bar = {name: F.get(name, F.col("pos")) for name in arrays}
     return rows.select(
         "ticker",
         dates.epoch_to_date(bar["timestamp"]).alias("date"),
         *[numbers.nan_as_null(numbers.or_zero(bar[c])).alias(c) for c in ("open", "high", "low")],
         numbers.nan_as_null(bar["close"]).alias("close"),
         numbers.or_zero(bar["volume"]).cast("bigint").alias("volume"),
-        ordinal(rows, bar["pos"]).alias("seq"),
+        ordinal(rows, F.col("pos")).alias("seq"),
+    )
+
+
+def _storable() -> Column:
+    """Whether the time and volume of all kept bars can be stored.
+
+    The extremes of the whole arrays settle nearly every document; only the others are checked bar by bar.
+    """
+    ordinary = (
+        (F.array_max("timestamp") < MAX_EPOCH)
+        & (F.array_min("timestamp") > -MAX_EPOCH)
+        & ~F.exists("timestamp", lambda t: t.isNull())
+        & F.coalesce(F.array_max("volume") < MAX_VOLUME, F.lit(True))
+        & F.coalesce(F.array_min("volume") > -MAX_VOLUME, F.lit(True))
     )
 
+    def fits(i: Column) -> Column:
+        time, volume = F.get("timestamp", i), numbers.or_zero(F.get("volume", i))
+        return F.coalesce(F.abs(time) < MAX_EPOCH, F.lit(False)) & (F.abs(volume) < MAX_VOLUME)
+
+    return F.when(ordinary, F.lit(True)).otherwise(F.forall("kept", fits))
+
 
 def decode_feeds(feeds: DataFrame, keep_first: int | None = None) -> DataFrame:
     """News feeds to one row per item, in feed order; ``keep_first`` limits the items of each document.
