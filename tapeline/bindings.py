@@ -63,10 +63,17 @@ def payloads_from_orders(orders: DataFrame) -> DataFrame:
         F.col("o_totalprice").alias("close"),
         (F.col("o_totalprice") / 7).alias("volume"),
     )
-    documents = orders.groupBy(
+    bars = orders.select(
         F.col("o_custkey").cast("string").alias("ticker"),
         F.floor(F.col("o_orderkey") / BARS_PER_DOCUMENT).cast("bigint").alias("part"),
-    ).agg(F.array_sort(F.collect_list(bar)).alias("bars"))
+        bar.alias("bar"),
+    )
+    # Collecting before the exchange would not make anything smaller.
+    documents = (
+        bars.repartition("ticker", "part")
+        .groupBy("ticker", "part")
+        .agg(F.array_sort(F.collect_list("bar")).alias("bars"))
+    )
 
     def series(name: str):
         return F.transform("bars", lambda b: b[name]).alias(name)
@@ -104,10 +111,13 @@ def feeds_from_documents(documents: DataFrame) -> DataFrame:
         element("source", F.col("lang"), ' url="https://example.org/"'),
         F.lit("</item>"),
     )
-    pages = documents.groupBy(
-        F.col("source").alias("ticker"),
-        F.floor(F.col("doc_id") / ITEMS_PER_DOCUMENT).cast("bigint").alias("part"),
-    ).agg(F.array_sort(F.collect_list(F.struct(F.col("doc_id"), item.alias("item")))).alias("items"))
+    pages = (
+        documents.withColumn("ticker", F.col("source"))
+        .withColumn("part", F.floor(F.col("doc_id") / ITEMS_PER_DOCUMENT).cast("bigint"))
+        .repartition("ticker", "part")
+        .groupBy("ticker", "part")
+        .agg(F.array_sort(F.collect_list(F.struct("doc_id", item.alias("item")))).alias("items"))
+    )
     body = F.concat(
         F.lit('<rss version="2.0"><channel><title>feed</title>'),
         F.array_join(F.transform("items", lambda i: i["item"]), ""),
