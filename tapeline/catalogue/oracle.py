@@ -147,6 +147,15 @@ SELECT 'Daily Market Recap - ' || strftime(DATE '2001-08-01', '%B %d, %Y') AS ti
        count(*) FILTER (return_pct > 0) AS gainers, count(*) FILTER (return_pct < 0) AS losers,
        {SCORE} AS quality_score, printf('%.2f', avg(return_pct)) || '%' AS avg_return_label,
        printf('%.1f', {SCORE} * 100) || '%' AS quality_score_label FROM returns""",
+    "summary_lines": f"""WITH {NARROW}, lines AS (
+  SELECT count(*) AS total, printf('%.2f', avg(return_pct)) AS mean, count(*) FILTER (return_pct > 0) AS gainers,
+         count(*) FILTER (return_pct < 0) AS losers, printf('%.1f', {SCORE} * 100) AS score FROM returns)
+SELECT 0::INTEGER AS line_no, 'Daily Market Recap - ' || strftime(DATE '2001-08-01', '%B %d, %Y') AS line FROM lines
+UNION ALL SELECT 1, 'Market Overview:' FROM lines
+UNION ALL SELECT 2, '• Total Assets Tracked: ' || total FROM lines
+UNION ALL SELECT 3, '• Average Return: ' || mean || '%' FROM lines
+UNION ALL SELECT 4, '• Gainers: ' || gainers || ' | Losers: ' || losers FROM lines
+UNION ALL SELECT 5, '• Data Quality Score: ' || score || '%' FROM lines""",
     "quality_lines": f"""WITH {NARROW}, {QUALITY_LINES}
 SELECT CAST(row_number() OVER (ORDER BY part, check_id) - 1 AS INTEGER) AS line_no, line FROM lines""",
     "prices_from_json": f"WITH {BARS} SELECT * EXCLUDE (o_orderkey) FROM bars",
@@ -250,6 +259,7 @@ SELECT ticker, seq, {LABELS}, CAST(return_pct AS VARCHAR) AS return_pct_text,
     "recap_roundtrip": f"WITH {PRICES}, {RETURNS} SELECT *, '20010801' AS run_date FROM ({PRICE_TABLE})",
     "recap_metrics": f"""WITH {NARROW}, {QUALITY_LINES}
 SELECT 'summary' AS section, 1::BIGINT AS rows
+UNION ALL SELECT 'summary_lines', 6
 UNION ALL SELECT 'top_performers', least((SELECT count(*) FROM returns), 5)
 UNION ALL SELECT 'price_table', count(*) FROM returns
 UNION ALL SELECT 'news_digest', count(DISTINCT source) FROM documents

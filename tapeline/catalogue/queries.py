@@ -41,7 +41,10 @@ def prices(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def recent_prices(spark: SparkSession, folder: str) -> DataFrame:
-    return prices(spark, folder).where(F.col("date") > F.lit(RECENT_FROM).cast("date"))
+    """Prices after RECENT_FROM; the bound is on the stored column, so that it reaches the scan."""
+    orders = bindings.table(spark, folder, "orders")
+    first = F.date_add(F.lit(RECENT_FROM).cast("date"), 1).cast("timestamp_ntz")
+    return bindings.prices_from_orders(orders.where(F.col("o_orderdate") >= first))
 
 
 def gappy_prices(spark: SparkSession, folder: str) -> DataFrame:
@@ -107,6 +110,13 @@ def recap_summary(spark, folder):
     return summary.withColumn("avg_return_pct", F.round("avg_return_pct", 6))
 
 
+@query
+def summary_lines(spark, folder):
+    return recap.summary_lines(
+        recap.recap_summary(returns_of(spark, folder), report(spark, folder).summary, run_moment())
+    )
+
+
 @query
 def quality_lines(spark, folder):
     return recap.quality_lines(report(spark, folder).summary)

@@ -14,6 +14,12 @@ def nan_as_null(value: Column) -> Column:
     return F.when(~F.isnan(value), value)
 
 
+def above(value: Column, limit: float) -> Column:
+    """Greater than the limit, and a number. Both are plain comparisons, so that a scan can use them: NaN is the one
+    value beyond infinity."""
+    return (value > limit) & (value <= float("inf"))
+
+
 def or_zero(value: Column) -> Column:
     """NULL and 0 both become 0."""
     return F.coalesce(value, F.lit(0.0))

@@ -29,13 +29,14 @@ class QualityReport:
 
 def out_of_range(thresholds: Thresholds) -> Column:
     """The limits themselves are valid; a missing close is not out of range."""
-    close = numbers.nan_as_null(F.col("close"))
-    return F.coalesce((close < thresholds.min_price) | (close > thresholds.max_price), F.lit(False))
+    close = F.col("close")
+    return (close < thresholds.min_price) | numbers.above(close, thresholds.max_price)
 
 
 def is_outlier(thresholds: Thresholds) -> Column:
-    change = numbers.nan_as_null(F.col("return_pct"))
-    return F.coalesce(F.abs(change) > thresholds.max_return_pct, F.lit(False))
+    """An absolute change above the limit, as two comparisons that a scan can use; a missing one is no outlier."""
+    change, limit = F.col("return_pct"), thresholds.max_return_pct
+    return (change < -limit) | numbers.above(change, limit)
 
 
 def invalid_prices(prices: DataFrame, thresholds: Thresholds = Thresholds()) -> DataFrame:

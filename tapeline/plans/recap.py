@@ -20,6 +20,7 @@ class Recap:
     """The sections of one recap."""
 
     summary: DataFrame
+    summary_lines: DataFrame
     top_performers: DataFrame
     price_table: DataFrame
     news_digest: DataFrame
@@ -52,6 +53,20 @@ def recap_summary(returns: DataFrame, quality_summary: DataFrame, as_of: datetim
     )
 
 
+def summary_lines(summary: DataFrame) -> DataFrame:
+    """The printed executive summary: title, heading and four lines."""
+    assets, mean, movers, score = wording.SUMMARY_LINES
+    lines = F.array(
+        F.col("title"),
+        F.lit(wording.SUMMARY_HEADING),
+        F.format_string(assets, "total_assets"),
+        F.format_string(mean, "avg_return_label"),
+        F.format_string(movers, "gainers", "losers"),
+        F.format_string(score, "quality_score_label"),
+    )
+    return summary.select(F.posexplode(lines).alias("line_no", "line"))
+
+
 def with_labels(returns: DataFrame) -> DataFrame:
     """Printed prices and returns beside the numbers."""
     return schemas.conform(returns, schemas.RETURNS).select(
@@ -90,8 +105,10 @@ def quality_lines(summary: DataFrame) -> DataFrame:
 
 
 def recap(returns: DataFrame, news: DataFrame, quality: QualityReport, as_of: datetime | Column) -> Recap:
+    summary = recap_summary(returns, quality.summary, as_of)
     return Recap(
-        summary=recap_summary(returns, quality.summary, as_of),
+        summary=summary,
+        summary_lines=summary_lines(summary),
         top_performers=top_performers(returns),
         price_table=price_table(returns),
         news_digest=news_digest(news),

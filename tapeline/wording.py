@@ -27,6 +27,13 @@ DATE_RANGE = "%s to %s"
 HEADLINE = "%d. [%s] %s"
 BYLINE = "%s - %s"
 READ_MORE = ' <link href="%s">Read more</link>'
+SUMMARY_HEADING = "Market Overview:"
+SUMMARY_LINES = (
+    "• Total Assets Tracked: %d",
+    "• Average Return: %s",
+    "• Gainers: %d | Losers: %d",
+    "• Data Quality Score: %s",
+)
 QUALITY_SCORE = "Quality Score: %s"
 PASSED_HEADING = "Checks Passed (%d):"
 FAILED_HEADING = "Checks Failed (%d):"

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tapeline import schemas
 from tapeline.plans.prices import NoPriceData, build_prices, require_prices
+from tapeline.plans.returns import build_returns
 from tapeline.sources.documents import decode_payloads
 
 DAY = 86_400
@@ -162,6 +163,15 @@ def test_round_trip_of_random_series(spark):
     assert sorted(found) == sorted(expected)
 
 
+def test_one_exchange_serves_last_bars_and_returns(spark):
+    rows = [("T", 200, body([1, 2, 3]), 0), ("T", 200, body([4]), 1)]
+    prices = build_prices(spark.createDataFrame(rows, DOCUMENTS + ", part bigint"))
+    returns = build_returns(prices, split_rows=None)
+    assert [(r.prev_close, r.close) for r in returns.collect()] == [(4.0, 3.0)]
+    plan = returns._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
 def test_documents_are_parsed_once(spark):
     df = spark.createDataFrame([("T", 200, body([1, 2]))], DOCUMENTS).where(F.col("ticker") != "x")
     plan = build_prices(df, keep_last=2).where(F.col("close") > 0)._jdf.queryExecution().executedPlan().toString()

@@ -102,6 +102,25 @@ def test_limits_themselves_are_valid(spark):
     assert outcome(run(spark, rows)) == {1: "passed", 2: "passed", 3: "passed", 4: "passed", 5: "passed"}
 
 
+def test_missing_values_are_neither_invalid_nor_outliers(spark):
+    bars = table(spark, [("a", 0, float("nan")), ("b", 0, None), ("c", 0, 2e6), ("d", 0, 0.0)])
+    assert sorted(r.ticker for r in quality.invalid_prices(bars).collect()) == ["c", "d"]
+    changes = [("a", float("nan")), ("b", None), ("c", float("inf")), ("d", -50.1), ("e", 50.0), ("f", float("-inf"))]
+    rows = [(t, DAY, 1.0, 1.0, 0.0, c, 0) for t, c in changes]
+    schema = "ticker string, date date, close double, prev_close double, daily_return double, return_pct double, seq bigint"
+    found = quality.outliers(spark.createDataFrame(rows, schema))
+    assert sorted(r.ticker for r in found.collect()) == ["c", "d", "f"]
+
+
+def test_limits_and_columns_reach_the_scan(spark, tmp_path):
+    table(spark, CLEAN).write.parquet(str(tmp_path / "prices"))
+    stored = spark.read.parquet(str(tmp_path / "prices"))
+    plan = quality.invalid_prices(stored)._jdf.queryExecution().executedPlan().toString()
+    assert "Or(LessThan(close,0.01),And(GreaterThan(close,1000000.0)" in plan
+    plan = build_returns(stored.drop("volume"))._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<ticker:string,date:date,close:double,seq:bigint>" in plan
+
+
 def test_no_prices_at_all(spark):
     report = run(spark, [])
     assert outcome(report) == {1: "failed", 2: "passed", 3: "passed", 4: "passed", 5: "passed"}

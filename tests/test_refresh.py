@@ -63,12 +63,20 @@ def test_full_refresh(spark, landed, tmp_path):
 
     recap = {r.section: r for r in stored["recap_metrics"].collect()}
     assert {k: r.rows for k, r in recap.items()} == {
-        "summary": 1, "top_performers": 5, "price_table": 52, "news_digest": 52, "quality_lines": 7
+        "summary": 1, "summary_lines": 6, "top_performers": 5, "price_table": 52, "news_digest": 52, "quality_lines": 7
     }
     assert all(r.size_kb > 0 and r.path.endswith("run_date=20240308") for r in recap.values())
     summary = spark.read.parquet(str(tmp_path / "recap" / "summary")).first()
     assert summary.title == "Daily Market Recap - March 08, 2024"
     assert (summary.total_assets, summary.gainers, summary.losers, summary.quality_score_label) == (52, 52, 0, "100.0%")
+    lines = spark.read.parquet(str(tmp_path / "recap" / "summary_lines")).orderBy("line_no").collect()
+    assert [r.line for r in lines][1:] == [
+        "Market Overview:",
+        "• Total Assets Tracked: 52",
+        f"• Average Return: {summary.avg_return_pct:.2f}%",
+        "• Gainers: 52 | Losers: 0",
+        "• Data Quality Score: 100.0%",
+    ]
     lines = spark.read.parquet(str(tmp_path / "recap" / "quality_lines")).orderBy("line_no").collect()
     assert [r.line for r in lines][:3] == [
         "Quality Score: 100.0%", "Checks Passed (5):", "✓ Data completeness: 100.0% (>= 80.0%)"
