@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapeline.llm import language, licenses, quality_model, quality_rules, secrets, url_filter
+from tapeline.llm import decontamination, language, licenses, packing, quality_model, quality_rules, secrets, url_filter
 from tapeline.llm.tables import rest, stored, table
 
 
@@ -40,12 +40,30 @@ def op7_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.judge(pages, url_filter.listed_hosts(pages))
 
 
+def op8_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(stored(packing.pieces(table(spark, folder, "documents")), "pieces"))
+
+
 def op9_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan(table(spark, folder, "documents"))
 
 
+def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontamination.matched(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    x.__name__: x for x in (op1_language_id, op2_quality_rules, op3_quality_classifier, op5_secret_scan, op7_url_filter, op9_license_scan)
+    x.__name__: x
+    for x in (
+        op1_language_id,
+        op2_quality_rules,
+        op3_quality_classifier,
+        op5_secret_scan,
+        op7_url_filter,
+        op8_best_fit_packing,
+        op9_license_scan,
+        op10_decontamination,
+    )
 }
 
 ORACLE: dict[str, str] = {"op7_url_filter": url_filter.oracle()}

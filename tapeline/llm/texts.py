@@ -107,8 +107,8 @@ class Words:
     bounds: np.ndarray
 
     @classmethod
-    def of(cls, data: np.ndarray, offsets: np.ndarray, inside: np.ndarray) -> Words:
-        """``inside`` marks the bytes of words; a text's end also ends a word."""
+    def of(cls, data: np.ndarray, offsets: np.ndarray, inside: np.ndarray, breaks: np.ndarray | None = None) -> Words:
+        """``inside`` marks the bytes of words; a text's end also ends a word, and ``breaks`` marks bytes that begin one."""
         cuts = offsets[offsets < len(data)]
         first = inside.copy()
         first[1:] &= ~inside[:-1]
@@ -117,6 +117,9 @@ class Words:
         last[:-1] &= ~inside[1:]
         before = cuts[cuts > 0] - 1
         last[before] = inside[before]
+        if breaks is not None:
+            first |= breaks
+            last[:-1] |= breaks[1:]
         starts = np.flatnonzero(first)
         return cls(data, starts, np.flatnonzero(last) + 1, np.searchsorted(starts, offsets))
 
