@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapeline.llm import decontamination, language, licenses, packing, quality_model, quality_rules, secrets, url_filter
+from tapeline.llm import decontamination, language, licenses, near_duplicates, packing, quality_model, quality_rules, secrets, substring_dedup, url_filter
 from tapeline.llm.tables import rest, stored, table
 
 
@@ -30,11 +30,19 @@ def op3_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return quality_model.score(docs, model).select("doc_id", (rest("doc_id", 3) == 1).alias("held_out"), "score", "predicted")
 
 
+def op4_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substring_dedup.dedup(table(spark, folder, "documents"))
+
+
 def op5_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     found = stored(secrets.candidates(table(spark, folder, "documents")), "candidates")
     return secrets.findings(found, secrets.learn(found)).drop("places")
 
 
+def op6_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates.near_duplicates(table(spark, folder, "documents"))
+
+
 def op7_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages")
     return url_filter.judge(pages, url_filter.listed_hosts(pages))
@@ -58,7 +66,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_language_id,
         op2_quality_rules,
         op3_quality_classifier,
+        op4_substring_dedup,
         op5_secret_scan,
+        op6_near_duplicates,
         op7_url_filter,
         op8_best_fit_packing,
         op9_license_scan,
