@@ -2,23 +2,55 @@
 
 Each stage is a function of the session, the documents its predecessor kept and the folder of the tables. All but the last
 return the columns of documents. ``run`` writes each stage's rows as Parquet below the shared folder and hands them on.
+
+Rows of one doc_id count as one document. Documents without a doc_id are kept by the second stage, which cannot name them.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tapeline.llm import language
+from tapeline.llm import decontamination, language, near_duplicates, packing, secrets
 from tapeline.llm.tables import stored, table
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told. Dictionaries come from the labelled ones."""
-    judged = language.annotate(docs, language.learn(docs))
-    return judged.where("not rejected").select(*docs.columns)
+    """Documents whose language can be told by dictionaries of the labelled ones."""
+    return language.told(docs, language.learn(docs))
+
+
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates, the document of smallest id."""
+    found = near_duplicates.near_duplicates(docs)
+    kept = found.where("doc_id = component_id").select("doc_id").distinct()
+    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return named.unionAll(docs.where("doc_id is null")).select(*docs.columns)
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that do not hold most of a benchmark item."""
+    return decontamination.cleaned(docs, table(spark, sf_dir, "benchmark"))
+
+
+def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with the secrets in their texts replaced and n_chars counted anew."""
+    network = secrets.learn(stored(secrets.candidates(docs), "candidates"))
+    return secrets.redacted(docs, network).withColumn("n_chars", F.length("text").cast("long"))
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of token sequences, with their place."""
+    return packing.pack(stored(packing.pieces(docs), "pieces"))
 
 
-STAGES = [("language_id", language_stage)]
+STAGES = [
+    ("language_id", language_stage),
+    ("ngram_jaccard_join", near_duplicate_stage),
+    ("decontamination", decontamination_stage),
+    ("secret_scan", secret_stage),
+    ("best_fit_packing", packing_stage),
+]
 
 #: Compression, a trained network and a tokenizer cannot be written in SQL; tests/llm holds the rows against plain code.
 ORACLE_SQL = None
@@ -26,6 +58,6 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
+    for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), name)
-    return docs
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -30,7 +30,7 @@ CELLS = 16
 BLOCK_BYTES = 4_096
 LEVEL = 5
 #: The runner-up must be larger by this share of the size, and by this many bytes.
-MARGIN = 0.003
+MARGIN = 0.001
 MARGIN_BYTES = 1
 
 UNDETERMINED = "und"
@@ -109,3 +109,15 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], key: str = "doc_id
 
     kind = docs.schema[key].dataType.simpleString()
     return docs.select(key, text).mapInArrow(judge, f"`{key}` {kind}, lang_pred string, score double, rejected boolean")
+
+
+def told(docs: DataFrame, dictionaries: dict[str, bytes], text: str = "text") -> DataFrame:
+    """``docs`` without the rejected texts, all columns kept."""
+    at = docs.columns.index(text)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoders = Encoders(dictionaries)
+        for batch in batches:
+            yield batch.filter(pa.array([not encoders.judge(x.as_py())[2] for x in batch.column(at)], pa.bool_()))
+
+    return docs.mapInArrow(keep, docs.schema)

@@ -252,19 +252,19 @@ def pack(held: DataFrame, key: str = "doc_id", capacity: int = CAPACITY) -> Data
     within = F.row_number().over(Window.partitionBy("length", "_cell").orderBy(key, "piece", "ids_crc32"))
     ranked = cell.withColumn("_within", within).join(offsets, ["length", "_cell"])
     ranked = ranked.select(*held.columns, (F.col("_before") + F.col("_within") - 1).alias("_rank"))
-    names = [*held.columns, "sequence_id", "offset"]
+    own = held.columns
+    span = 1 + max(totals.values(), default=0)
+    starts = made[:, 0] * span + made[:, 1]
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        span = 1 + max(totals.values(), default=0)
-        starts = made[:, 0] * span + made[:, 1]
         for batch in batches:
             table = pa.Table.from_batches([batch])
             length, rank = table["length"].to_numpy(), table["_rank"].to_numpy()
             row = made[np.searchsorted(starts, length * span + rank, side="right") - 1]
             beyond = rank - row[:, 1]
             sequence, offset = row[:, 2] + beyond // row[:, 3], row[:, 4] + beyond % row[:, 3] * length
-            columns = [table[x].combine_chunks() for x in held.columns] + [pa.array(sequence, pa.int64()), pa.array(offset, pa.int64())]
-            yield from pa.Table.from_arrays(columns, names=names).to_batches()
+            columns = [table[x].combine_chunks() for x in own] + [pa.array(sequence, pa.int64()), pa.array(offset, pa.int64())]
+            yield from pa.Table.from_arrays(columns, names=[*own, "sequence_id", "offset"]).to_batches()
 
     shape = ", ".join(f"`{x.name}` {x.dataType.simpleString()}" for x in held.schema) + ", sequence_id long, offset long"
     return ranked.mapInArrow(place, shape)
