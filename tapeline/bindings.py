@@ -11,6 +11,13 @@ from tapeline.settings import universe_of
 BARS_PER_DOCUMENT = 50_000
 ITEMS_PER_DOCUMENT = 100
 
+# Of each so many customers, one each has documents that were not answered, are cut off, have no indicators or no volumes.
+SPOILT_CYCLE = 50
+UNANSWERED, CUT_OFF, WITHOUT_INDICATORS, WITHOUT_VOLUMES = 7, 11, 13, 17
+# One of so many bars has no close; feeds of this source were not answered, those of that one are cut off at the end.
+NO_CLOSE_CYCLE = 37
+UNANSWERED_SOURCE, CUT_OFF_SOURCE = "src3", "src5"
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
@@ -34,6 +41,12 @@ def universe_from_customers(customers: DataFrame) -> DataFrame:
     return universe_of(customers, "c_custkey", "c_mktsegment", "c_custkey")
 
 
+def universe_with_parts(customers: DataFrame, parts: DataFrame) -> DataFrame:
+    """Customers and parts; no order has a part's name as its ticker, so all parts lack prices."""
+    named = parts.select(F.concat(F.lit("part-"), F.col("p_partkey").cast("string")).alias("symbol"), "p_brand", "p_partkey")
+    return universe_from_customers(customers).unionByName(universe_of(named, "symbol", "p_brand", "p_partkey"))
+
+
 def news_from_documents(documents: DataFrame) -> DataFrame:
     """Articles with gaps: only English ones are dated, French ones have no link."""
     return documents.select(
@@ -52,7 +65,7 @@ def payloads_from_orders(orders: DataFrame) -> DataFrame:
     """Orders as JSON price payloads, one document per customer and block of order numbers.
 
     Opening prices are whole, highs are null for pending orders, lows are 0 and volumes are fractional, so that the
-    null, zero and truncation rules are all at work.
+    null, zero and truncation rules are all at work. Some bars have no close, and some customers' documents are spoilt.
     """
     bar = F.struct(
         F.col("o_orderkey").alias("seq"),
@@ -60,7 +73,7 @@ def payloads_from_orders(orders: DataFrame) -> DataFrame:
         F.col("o_totalprice").alias("open"),
         F.when(F.col("o_orderstatus") != "P", F.col("o_totalprice")).alias("high"),
         F.lit(0.0).alias("low"),
-        F.col("o_totalprice").alias("close"),
+        F.when(F.col("o_orderkey") % NO_CLOSE_CYCLE != 0, F.col("o_totalprice")).alias("close"),
         (F.col("o_totalprice") / 7).alias("volume"),
     )
     bars = orders.select(
@@ -78,10 +91,16 @@ def payloads_from_orders(orders: DataFrame) -> DataFrame:
     def series(name: str):
         return F.transform("bars", lambda b: b[name]).alias(name)
 
-    quote = F.struct(*[series(c) for c in ("open", "high", "low", "close", "volume")])
-    result = F.struct(series("timestamp"), F.struct(F.array(quote).alias("quote")).alias("indicators"))
-    body = F.to_json(F.struct(F.struct(F.array(result).alias("result")).alias("chart")))
-    return documents.select("ticker", F.lit(200).alias("status"), body.alias("body"), "part")
+    kind = F.col("ticker").cast("bigint") % SPOILT_CYCLE
+    volumes = F.transform("bars", lambda b: b["volume"])
+    volumes = F.when(kind == WITHOUT_VOLUMES, F.slice(volumes, 1, 0)).otherwise(volumes).alias("volume")
+    quote = F.struct(*[series(c) for c in ("open", "high", "low", "close")], volumes)
+    indicators = F.when(kind != WITHOUT_INDICATORS, F.struct(F.array(quote).alias("quote"))).alias("indicators")
+    result = F.struct(series("timestamp"), indicators)
+    body = F.to_json(F.struct(F.struct(F.array(result).alias("result")).alias("chart")), {"ignoreNullFields": "false"})
+    body = F.when(kind == CUT_OFF, F.substring(body, F.lit(1), F.length(body) - 3)).otherwise(body)
+    status = F.when(kind == UNANSWERED, 429).otherwise(200)
+    return documents.select("ticker", status.alias("status"), body.alias("body"), "part")
 
 
 def _escaped(text):
@@ -121,6 +140,7 @@ def feeds_from_documents(documents: DataFrame) -> DataFrame:
     body = F.concat(
         F.lit('<rss version="2.0"><channel><title>feed</title>'),
         F.array_join(F.transform("items", lambda i: i["item"]), ""),
-        F.lit("</channel></rss>"),
+        F.when(F.col("ticker") == CUT_OFF_SOURCE, F.lit("<item><title>and th")).otherwise("</channel></rss>"),
     )
-    return pages.select("ticker", F.lit(200).alias("status"), body.alias("body"), "part")
+    status = F.when(F.col("ticker") == UNANSWERED_SOURCE, 503).otherwise(200)
+    return pages.select("ticker", status.alias("status"), body.alias("body"), "part")

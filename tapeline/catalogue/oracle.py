@@ -2,18 +2,11 @@
 
 from __future__ import annotations
 
-from tapeline.catalogue.queries import RECENT_FROM
-
 PRICES = """prices AS (
   SELECT CAST(o_custkey AS VARCHAR) AS ticker, CAST(o_orderdate AS DATE) AS date, o_totalprice AS close,
          o_orderkey AS seq
   FROM orders)"""
 
-RECENT = f"""prices AS (
-  SELECT CAST(o_custkey AS VARCHAR) AS ticker, CAST(o_orderdate AS DATE) AS date, o_totalprice AS close,
-         o_orderkey AS seq
-  FROM orders WHERE CAST(o_orderdate AS DATE) > DATE '{RECENT_FROM}')"""
-
 GAPPY = """prices AS (
   SELECT CAST(o_custkey AS VARCHAR) AS ticker, CAST(o_orderdate AS DATE) AS date,
          CASE WHEN o_orderstatus <> 'P' THEN o_totalprice END AS close, o_orderkey AS seq
@@ -34,20 +27,32 @@ RETURNS = f"""{CLOSES}, returns AS (
 
 UNIVERSE = "universe AS (SELECT CAST(c_custkey AS VARCHAR) AS ticker, c_custkey AS position FROM customer)"
 
+WIDE = """universe AS (
+  SELECT CAST(c_custkey AS VARCHAR) AS ticker, c_custkey AS position FROM customer
+  UNION ALL SELECT 'part-' || p_partkey, p_partkey FROM part)"""
+
+FAILED = f"""{WIDE}, failed AS (
+  SELECT row_number() OVER (ORDER BY position, ticker) - 1 AS number, ticker FROM universe u
+  WHERE NOT EXISTS (SELECT 1 FROM prices p WHERE p.ticker = u.ticker)), lines AS (
+  SELECT CAST(number // 100 AS BIGINT) AS line_no, string_agg(ticker, ', ' ORDER BY number) AS failed_tickers
+  FROM failed GROUP BY 1 UNION ALL SELECT 0, 'None' WHERE NOT EXISTS (SELECT 1 FROM failed))"""
+
 NEWS = """news AS (
   SELECT source AS ticker, text AS title, lang AS publisher,
          CASE WHEN lang = 'en' THEN 'day ' || CAST(n_chars AS VARCHAR) ELSE 'N/A' END AS published_date,
          CASE WHEN lang = 'fr' THEN '' ELSE CAST(doc_id AS VARCHAR) END AS link, doc_id AS seq
   FROM documents)"""
 
-KEPT_NEWS = f"""{NEWS}, kept AS (
-  SELECT * FROM news QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY seq) <= 3)"""
+FED_NEWS = f"""{NEWS}, fed AS (SELECT * FROM news WHERE ticker <> 'src3')"""
+
+KEPT_NEWS = f"""{FED_NEWS}, kept AS (
+  SELECT * FROM fed QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY seq) <= 3)"""
 
 BARS = """bars AS (
   SELECT CAST(o_custkey AS VARCHAR) AS ticker, CAST(o_orderdate AS DATE) AS date, o_totalprice AS open,
          CASE WHEN o_orderstatus <> 'P' THEN o_totalprice ELSE 0.0::DOUBLE END AS high, 0.0::DOUBLE AS low,
          o_totalprice AS close, CAST(trunc(o_totalprice / 7) AS BIGINT) AS volume, o_orderkey
-  FROM orders)"""
+  FROM orders WHERE o_orderkey % 37 <> 0 AND o_custkey % 50 NOT IN (7, 11, 13, 17))"""
 
 LABELS = """'$' || printf('%.2f', close) AS close_label, '$' || printf('%.2f', daily_return) AS daily_return_label,
          printf('%.2f', return_pct) || '%' AS return_pct_label"""
@@ -72,9 +77,9 @@ def csv(columns: list[str], source: str, order: str, n: int, texts: tuple[str, .
     )
 
 
-def checks(source: str, low: float, high: float, largest: float, completeness: float) -> str:
+def checks(source: str, low: float, high: float, largest: float, completeness: float, universe: str = UNIVERSE) -> str:
     """The five checks over the CTEs prices, returns and universe, as a CTE named checks."""
-    return f"""{source}, {RETURNS}, {UNIVERSE}, stats AS (
+    return f"""{source}, {RETURNS}, {universe}, stats AS (
   SELECT (SELECT count(DISTINCT ticker) FROM prices) / CAST((SELECT count(*) FROM universe) AS DOUBLE) AS ratio,
          (SELECT count(*) FROM prices WHERE close < {low} OR close > {high}) AS invalid,
          (SELECT count(*) FROM prices WHERE close IS NULL) AS missing_prices,
@@ -134,6 +139,7 @@ RUN_SECONDS = 996667200
 
 ORACLE: dict[str, str] = {
     "returns": f"WITH {PRICES}, {RETURNS} SELECT * FROM returns",
+    "returns_split": f"WITH {PRICES}, {RETURNS} SELECT * FROM returns",
     "returns_summary": f"""WITH {PRICES}, {RETURNS}
 SELECT count(*) AS total_assets, count(DISTINCT ticker) AS distinct_tickers, round(avg(return_pct), 6) AS avg_return_pct,
        count(*) FILTER (return_pct > 0) AS gainers, count(*) FILTER (return_pct < 0) AS losers FROM returns""",
@@ -163,9 +169,22 @@ SELECT CAST(row_number() OVER (ORDER BY part, check_id) - 1 AS INTEGER) AS line_
 QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY o_orderkey DESC) <= 2""",
     "build_prices_in_window": f"""WITH {BARS} SELECT * EXCLUDE (o_orderkey) FROM bars
 WHERE date BETWEEN DATE '2001-07-26' AND DATE '2001-08-01'""",
+    "landed_batches": f"""WITH {BARS}
+SELECT ticker, date, close, CAST(row_number() OVER (PARTITION BY ticker ORDER BY o_orderkey % 4 >= 2, o_orderkey) AS INTEGER)
+         AS place FROM bars""",
+    "price_gate": f"""WITH {BARS}
+SELECT 'as landed' AS "case", CASE WHEN count(*) > 0 THEN 'passed' ELSE 'No price data retrieved' END AS outcome FROM bars
+UNION ALL SELECT 'unanswered', 'No price data retrieved'""",
+    "quality_gate": f"""WITH {NARROW}
+SELECT least, CASE WHEN least IS NULL OR {SCORE} >= least THEN 'passed' ELSE 'refused' END AS outcome
+FROM (SELECT unnest([NULL, 0.2, 0.9])::DOUBLE AS least)""",
+    "coerced_dates": """SELECT 'text' AS kind, o_orderkey AS seq,
+       CASE WHEN o_orderkey % 10 <> 3 THEN CAST(o_orderdate AS DATE) END AS date FROM orders
+UNION ALL SELECT 'moment', o_orderkey, CAST(o_orderdate + INTERVAL 23 HOURS AS DATE) FROM orders""",
+    "news_of_silent_feeds": "SELECT 0 AS num_news, 0 AS num_tickers_with_news, 'No news' AS preview",
     "last_bars": f"""WITH {PRICES} SELECT * FROM prices
 QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY seq DESC) <= 2""",
-    "feed_items": f"WITH {NEWS} SELECT * EXCLUDE (seq) FROM news",
+    "feed_items": f"WITH {FED_NEWS} SELECT * EXCLUDE (seq) FROM fed",
     "news_from_xml": f"WITH {KEPT_NEWS} SELECT * EXCLUDE (seq) FROM kept",
     "first_articles": f"""WITH {NEWS} SELECT * FROM news
 QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY seq) = 1""",
@@ -196,11 +215,12 @@ FROM events GROUP BY 1""",
     "date_range": f"""WITH {PRICES}
 SELECT min(date) AS first_date, max(date) AS last_date,
        min(date) || ' 00:00:00 to ' || max(date) || ' 00:00:00' AS date_range FROM prices""",
-    "completeness": f"""WITH {RECENT}, {UNIVERSE}
+    "completeness": f"""WITH {PRICES}, {WIDE}
 SELECT (SELECT count(DISTINCT ticker) FROM prices) AS price_tickers, (SELECT count(*) FROM universe) AS universe_size,
        (SELECT count(DISTINCT ticker) FROM prices) / CAST((SELECT count(*) FROM universe) AS DOUBLE)
          AS data_completeness""",
-    "failed_tickers": f"""WITH {RECENT}, {UNIVERSE}
+    "failed_lines": f"WITH {PRICES}, {FAILED} SELECT * FROM lines",
+    "failed_tickers": f"""WITH {PRICES}, {WIDE}
 SELECT position, ticker FROM universe u WHERE NOT EXISTS (SELECT 1 FROM prices p WHERE p.ticker = u.ticker)""",
     "invalid_prices": f"""WITH {PRICES}
 SELECT ticker, date, seq, close FROM prices WHERE close < 2000.0 OR close > 499000.0""",
@@ -215,22 +235,20 @@ QUALIFY count(*) OVER (PARTITION BY ticker, date) > 1""",
     "duplicate_count": f"""WITH {PRICES}, sizes AS (SELECT count(*) AS n FROM prices GROUP BY ticker, date)
 SELECT CAST(coalesce(sum(n) FILTER (n > 1), 0) AS BIGINT) AS duplicates FROM sizes""",
     "quality_checks": f"WITH {NARROW} SELECT * FROM checks",
-    "quality_checks_recent": f"WITH {checks(RECENT, 0.01, 1000000.0, 50.0, 0.8)} SELECT * FROM checks",
+    "quality_checks_wide": f"WITH {checks(PRICES, 0.01, 1000000.0, 50.0, 0.8, WIDE)} SELECT * FROM checks",
     "quality_checks_gappy": f"WITH {checks(GAPPY, 0.01, 1000000.0, 50.0, 0.8)} SELECT * FROM checks",
     "quality_checks_clean": f"WITH {checks(LAST_ONE, 0.01, 1000000.0, 50.0, 0.8)} SELECT * FROM checks",
     "quality_score": f"""WITH {NARROW}, {WARNING_ROWS}
 SELECT (SELECT ratio FROM stats) AS data_completeness, {SCORE} AS quality_score,
        (SELECT count(*) FROM warning_rows) AS warnings""",
     "warnings": f"WITH {NARROW}, {WARNING_ROWS} SELECT * FROM warning_rows",
-    "price_metrics": f"""WITH {RECENT}, {UNIVERSE}, failed AS (
-  SELECT position, ticker FROM universe u WHERE NOT EXISTS (SELECT 1 FROM prices p WHERE p.ticker = u.ticker))
-SELECT count(*) AS num_records, count(DISTINCT ticker) AS num_tickers, (SELECT count(*) FROM failed) AS num_failed,
-       (SELECT CASE WHEN count(*) = 0 THEN 'None' WHEN count(*) > 10000 THEN count(*) || ' tickers'
-               ELSE string_agg(ticker, ', ' ORDER BY position) END FROM failed) AS failed_tickers,
-       min(date) AS first_date, max(date) AS last_date,
-       min(date) || ' 00:00:00 to ' || max(date) || ' 00:00:00' AS date_range,
-       {csv(["ticker", "date", "close"], "prices", "ticker, date, seq", 10)} AS preview
-FROM prices""",
+    "price_metrics": f"""WITH {PRICES}, {FAILED}, facts AS (
+  SELECT 0 AS line_no, count(*) AS num_records, count(DISTINCT ticker) AS num_tickers,
+         (SELECT count(*) FROM failed) AS num_failed, min(date) AS first_date, max(date) AS last_date,
+         min(date) || ' 00:00:00 to ' || max(date) || ' 00:00:00' AS date_range,
+         {csv(["ticker", "date", "close"], "prices", "ticker, date, seq", 10)} AS preview
+  FROM prices)
+SELECT lines.line_no, facts.* EXCLUDE (line_no), lines.failed_tickers FROM lines LEFT JOIN facts USING (line_no)""",
     "news_metrics": f"""WITH {KEPT_NEWS}
 SELECT count(*) AS num_news, count(DISTINCT ticker) AS num_tickers_with_news,
        {csv(["ticker", "title", "publisher", "published_date", "link"], "kept", "ticker, seq", 5, ("title",))} AS preview
@@ -257,11 +275,12 @@ SELECT ticker, seq, {LABELS}, CAST(return_pct AS VARCHAR) AS return_pct_text,
        strftime(DATE '2001-08-01', '%B %d, %Y') AS run_title FROM returns""",
     "materialise_roundtrip": f"WITH {PRICES}, {RETURNS} SELECT * FROM returns",
     "recap_roundtrip": f"WITH {PRICES}, {RETURNS} SELECT *, '20010801' AS run_date FROM ({PRICE_TABLE})",
-    "recap_metrics": f"""WITH {NARROW}, {QUALITY_LINES}
-SELECT 'summary' AS section, 1::BIGINT AS rows
-UNION ALL SELECT 'summary_lines', 6
-UNION ALL SELECT 'top_performers', least((SELECT count(*) FROM returns), 5)
-UNION ALL SELECT 'price_table', count(*) FROM returns
-UNION ALL SELECT 'news_digest', count(DISTINCT source) FROM documents
-UNION ALL SELECT 'quality_lines', count(*) FROM lines""",
+    "recap_metrics": f"""WITH {NARROW}, {QUALITY_LINES}, sizes AS (
+  SELECT 'summary' AS section, 1::BIGINT AS rows
+  UNION ALL SELECT 'summary_lines', 6
+  UNION ALL SELECT 'top_performers', least((SELECT count(*) FROM returns), 5)
+  UNION ALL SELECT 'price_table', count(*) FROM returns
+  UNION ALL SELECT 'news_digest', count(DISTINCT source) FROM documents
+  UNION ALL SELECT 'quality_lines', count(*) FROM lines)
+SELECT *, 'sections/' || section || '/run_date=20010801' AS place, true AS has_size FROM sizes""",
 }

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tapeline import bindings
 from tapeline.functions import dates, numbers
@@ -13,7 +13,7 @@ from tapeline.plans import metrics, news as news_plans, prices as price_plans, q
 from tapeline.session import new_folder
 from tapeline.settings import Thresholds
 from tapeline.sinks import tables
-from tapeline.sources import manifest
+from tapeline.sources import landing, manifest
 from tapeline.sources.documents import decode_payloads
 
 # Thresholds under which the provided tables pass some checks and fail others.
@@ -21,7 +21,8 @@ NARROW = Thresholds(min_price=2_000.0, max_price=499_000.0)
 
 RUN_MOMENT = "2001-08-01 12:00:00Z"
 RUN_DATE = "20010801"
-RECENT_FROM = "2001-05-01"
+# A series above this many rows is split by the queries that show it.
+SPLIT_ROWS = 5
 EVENTS_MOMENT = "2024-01-27 00:00:00Z"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,13 +41,6 @@ def prices(spark: SparkSession, folder: str) -> DataFrame:
     return bindings.prices_from_orders(bindings.table(spark, folder, "orders"))
 
 
-def recent_prices(spark: SparkSession, folder: str) -> DataFrame:
-    """Prices after RECENT_FROM; the bound is on the stored column, so that it reaches the scan."""
-    orders = bindings.table(spark, folder, "orders")
-    first = F.date_add(F.lit(RECENT_FROM).cast("date"), 1).cast("timestamp_ntz")
-    return bindings.prices_from_orders(orders.where(F.col("o_orderdate") >= first))
-
-
 def gappy_prices(spark: SparkSession, folder: str) -> DataFrame:
     """Prices in which pending orders have no close yet."""
     orders = bindings.table(spark, folder, "orders")
@@ -58,6 +52,11 @@ def universe(spark: SparkSession, folder: str) -> DataFrame:
     return bindings.universe_from_customers(bindings.table(spark, folder, "customer"))
 
 
+def wide_universe(spark: SparkSession, folder: str) -> DataFrame:
+    customers, parts = (bindings.table(spark, folder, name) for name in ("customer", "part"))
+    return bindings.universe_with_parts(customers, parts)
+
+
 def returns_of(spark: SparkSession, folder: str) -> DataFrame:
     return return_plans.build_returns(prices(spark, folder))
 
@@ -88,6 +87,11 @@ def returns(spark, folder):
     return returns_of(spark, folder)
 
 
+@query
+def returns_split(spark, folder):
+    return return_plans.build_returns(prices(spark, folder), split_rows=SPLIT_ROWS)
+
+
 @query
 def returns_summary(spark, folder):
     summary = recap.market_summary(returns_of(spark, folder))
@@ -143,6 +147,64 @@ def build_prices_in_window(spark, folder):
     return bars.drop("seq")
 
 
+@query
+def landed_batches(spark, folder):
+    """Two batches of parted documents; the second one's bars follow the first one's."""
+    orders = bindings.table(spark, folder, "orders")
+    early = F.col("o_orderkey") % 4 < 2
+    batches = [bindings.payloads_from_orders(orders.where(x)) for x in (early, ~early)]
+    bars = decode_payloads(landing.landed_batches(*batches))
+    place = F.row_number().over(Window.partitionBy("ticker").orderBy("seq"))
+    return bars.select("ticker", "date", "close", place.alias("place"))
+
+
+@query
+def price_gate(spark, folder):
+    """What the demand for prices says to all payloads, and to payloads none of which was answered."""
+    landed = payloads(spark, folder)
+    cases = {"as landed": landed, "unanswered": landed.withColumn("status", F.lit(429))}
+    said = []
+    for name, documents in cases.items():
+        try:
+            price_plans.require_prices(price_plans.build_prices(documents, keep_last=None))
+            said.append((name, "passed"))
+        except price_plans.NoPriceData as refusal:
+            said.append((name, str(refusal)))
+    return spark.createDataFrame(said, "case string, outcome string")
+
+
+@query
+def quality_gate(spark, folder):
+    """What the demand for a score says below and above the score of all prices."""
+    summary = report(spark, folder).summary
+    said = []
+    for least in (None, 0.2, 0.9):
+        try:
+            quality.require_quality(summary, least)
+            said.append((least, "passed"))
+        except quality.QualityGateFailed:
+            said.append((least, "refused"))
+    return spark.createDataFrame(said, "least double, outcome string")
+
+
+@query
+def coerced_dates(spark, folder):
+    """Dates as texts, some of which are no dates, and as timestamps, read as dates."""
+    orders = bindings.table(spark, folder, "orders")
+    shown = F.date_format("o_orderdate", "yyyy-MM-dd")
+    texts = orders.select("o_orderkey", F.when(F.col("o_orderkey") % 10 == 3, F.concat(F.lit("on "), shown)).otherwise(shown).alias("date"))
+    moments = orders.select("o_orderkey", (F.col("o_orderdate").cast("timestamp_ntz") + F.expr("interval 23 hours")).alias("date"))
+    read = [price_plans.coerce_dates(x).select(F.lit(kind).alias("kind"), F.col("o_orderkey").alias("seq"), "date") for kind, x in (("text", texts), ("moment", moments))]
+    return read[0].unionByName(read[1])
+
+
+@query
+def news_of_silent_feeds(spark, folder):
+    """News of feeds none of which was answered: an empty table, and its metrics."""
+    silent = feeds(spark, folder).withColumn("status", F.lit(503))
+    return metrics.news_metrics(news_plans.build_news(silent))
+
+
 @query
 def last_bars(spark, folder):
     return price_plans.last_bars(prices(spark, folder), 2)
@@ -215,12 +277,17 @@ def date_range(spark, folder):
 
 @query
 def completeness(spark, folder):
-    return quality.completeness(recent_prices(spark, folder), universe(spark, folder))
+    return quality.completeness(prices(spark, folder), wide_universe(spark, folder))
 
 
 @query
 def failed_tickers(spark, folder):
-    return metrics.failed_tickers(recent_prices(spark, folder), universe(spark, folder))
+    return metrics.failed_tickers(prices(spark, folder), wide_universe(spark, folder))
+
+
+@query
+def failed_lines(spark, folder):
+    return metrics.failed_lines(metrics.failed_tickers(prices(spark, folder), wide_universe(spark, folder)))[0]
 
 
 @query
@@ -261,9 +328,9 @@ def quality_checks(spark, folder):
 
 
 @query
-def quality_checks_recent(spark, folder):
-    bars = recent_prices(spark, folder)
-    return quality.collect_checks(bars, return_plans.build_returns(bars), universe(spark, folder))
+def quality_checks_wide(spark, folder):
+    bars = prices(spark, folder)
+    return quality.collect_checks(bars, return_plans.build_returns(bars), wide_universe(spark, folder))
 
 
 @query
@@ -296,7 +363,7 @@ def warnings(spark, folder):
 
 @query
 def price_metrics(spark, folder):
-    return metrics.price_metrics(recent_prices(spark, folder), universe(spark, folder))
+    return metrics.price_metrics(prices(spark, folder), wide_universe(spark, folder))
 
 
 @query
@@ -362,4 +429,6 @@ def recap_metrics(spark, folder):
     checked = quality.quality_checks(prices(spark, folder), stored, universe(spark, folder), NARROW)
     sections = recap.recap(stored, news(spark, folder), checked, run_moment()).sections()
     tables.write_recap(sections, f"{root}/sections", RUN_DATE)
-    return tables.recap_metrics(spark, f"{root}/sections", RUN_DATE, list(sections)).select("section", "rows")
+    written = tables.recap_metrics(spark, f"{root}/sections", RUN_DATE, list(sections))
+    place = F.regexp_extract("path", r"/(sections/.*)$", 1).alias("place")
+    return written.select("section", "rows", place, (F.col("size_kb") > 0).alias("has_size"))

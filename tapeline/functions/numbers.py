@@ -58,8 +58,19 @@ def _special(value: Column, finite: Column) -> Column:
 
 
 def fixed_text(value: Column, digits: int) -> Column:
-    """Fixed-point text, rounding the exact binary value (``2.675`` gives ``2.67``); exact for magnitudes below 1e13."""
-    return _special(value, F.call_function("format_number", value, F.lit("0." + "0" * digits)))
+    """Fixed-point text, rounding the exact binary value half to even (``2.675`` gives ``2.67``), below 2 to the 63.
+
+    From 1e13 on the fraction has ten binary digits at most, so that scaling it is exact and whole part and fraction can be
+    printed as integers.
+    """
+    ordinary = F.call_function("format_number", value, F.lit("0." + "0" * digits))
+    size = F.abs(value)
+    whole = F.floor(size)
+    parts = F.rint((size - whole) * float(10**digits)).cast("bigint")
+    carried = whole.cast("bigint") + F.floor(parts / 10**digits).cast("bigint")
+    fraction = F.lpad(F.pmod(parts, F.lit(10**digits)).cast("string"), digits, "0")
+    large = F.concat(F.when(value < 0, F.lit("-")).otherwise(F.lit("")), carried.cast("string"), F.lit("."), fraction)
+    return _special(value, F.when((size >= 1e13) & (size < 2.0**63), large).otherwise(ordinary))
 
 
 def money_text(value: Column) -> Column:

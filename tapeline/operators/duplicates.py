@@ -7,19 +7,19 @@ from pyspark.sql import DataFrame, functions as F
 from tapeline.operators import keys as hot
 
 
-def duplicate_rows(df: DataFrame, keys: list[str], split_rows: int = hot.SPLIT_ROWS) -> DataFrame:
+def duplicate_rows(
+    df: DataFrame, keys: list[str], split_rows: int = hot.SPLIT_ROWS, most_broadcast: int = hot.BROADCAST_KEYS
+) -> DataFrame:
     """All rows whose key occurs more than once.
 
     The repeated keys come from a pre-combined count, so rows are only moved when many keys repeat (otherwise the key
     table is small and the adaptive planner broadcasts it). Rows of a very frequent key are duplicates by definition:
-    they are picked by a size-bounded broadcast and never meet in one task.
+    they are picked by a list of such keys and never meet in one task.
     """
     repeated = hot.key_counts(df, keys).where(F.col("n") > 1)
-    large = F.broadcast(hot.hot_keys(repeated, keys, split_rows))
-    ordinary = hot.keep_matching(df, large, keys, "left_anti")
-    return hot.keep_matching(ordinary, repeated.select(*keys), keys, "left_semi").unionByName(
-        hot.keep_matching(df, large, keys, "left_semi")
-    )
+    ordinary, frequent = hot.divided(df, hot.hot_keys(repeated, keys, split_rows), keys, df.columns, most_broadcast)
+    found = hot.keep_matching(ordinary, repeated.select(*keys), keys, "left_semi")
+    return found if frequent is None else found.unionByName(frequent)
 
 
 def duplicate_count(df: DataFrame, keys: list[str]) -> DataFrame:

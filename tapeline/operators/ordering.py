@@ -22,14 +22,14 @@ def top_rows(df: DataFrame, ordering: list[Column], n: int) -> DataFrame:
     return df.orderBy(*ordering).limit(n)
 
 
-def running_number(df: DataFrame, ordering: list[Column], out: str) -> DataFrame:
+def running_number(df: DataFrame, ordering: list[Column], out: str, root: str | None = None) -> DataFrame:
     """Number all rows 1, 2, ... along an order, without bringing them into one task.
 
     Rows are range-partitioned and numbered inside their slice; the slice's offset is the row count of the slices
-    before it. Offsets and numbers must refer to the same cut, so the sliced rows are checkpointed first. The offset
-    table has one row per shuffle partition.
+    before it. Offsets and numbers must refer to the same cut, so the sliced rows are stored first, below ``root`` or
+    the shared folder. The offset table has one row per shuffle partition.
     """
-    sliced = hold(df.repartitionByRange(*ordering).withColumn("_slice", F.spark_partition_id()))
+    sliced = hold(df.repartitionByRange(*ordering).withColumn("_slice", F.spark_partition_id()), root)
     before = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         sliced.groupBy("_slice")

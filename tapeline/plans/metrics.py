@@ -9,8 +9,8 @@ from tapeline.functions import dates, numbers, text
 from tapeline.operators import ordering, single_rows
 from tapeline.plans.returns import best_first
 
-# Up to this many failed symbols are spelled out in one text; the table ``failed_tickers`` always has all of them.
-INLINE_SYMBOLS = 10_000
+# Names on one line of a list of symbols.
+NAMES_PER_LINE = 100
 
 PRICE_PREVIEW_ROWS = 10
 PREVIEW_ROWS = 5
@@ -21,44 +21,60 @@ def failed_tickers(prices: DataFrame, universe: DataFrame) -> DataFrame:
     return universe.join(prices.select("ticker").distinct(), "ticker", "left_anti").select("position", "ticker")
 
 
-def failed_text(failed: DataFrame, limit: int = INLINE_SYMBOLS) -> DataFrame:
-    """The failed symbols in universe order as one text (``None`` when there are none): one row."""
-    head = failed.orderBy("position", "ticker").limit(limit + 1)
-    names = F.transform(
-        F.array_sort(F.collect_list(F.struct("position", "ticker"))), lambda e: e["ticker"]
-    )
-    combined = single_rows.combine(
-        failed.agg(F.count(F.lit(1)).alias("num_failed")), head.agg(names.alias("_names"))
-    )
-    spelled = text.joined_or_none(F.col("_names"), ", ")
-    counted = F.concat(F.col("num_failed").cast("string"), F.lit(" tickers"))
-    return combined.select(
-        "num_failed", F.when(F.col("num_failed") <= limit, spelled).otherwise(counted).alias("failed_tickers")
+def failed_lines(
+    failed: DataFrame, names: int = NAMES_PER_LINE, root: str | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """The failed symbols in universe order, ``names`` to a line: rows (line_no, failed_tickers); and their number.
+
+    Every symbol is on some line. Without any there is one line, ``None``. The numbered symbols are stored below ``root``
+    or the shared folder.
+    """
+    numbered = ordering.running_number(failed, ordering.in_order("position", "ticker"), "_number", root)
+    line = F.floor((F.col("_number") - 1) / names).alias("line_no")
+    members = F.array_sort(F.collect_list(F.struct("_number", "ticker")))
+    spelled = text.joined_or_none(F.transform(members, lambda e: e["ticker"]), ", ").alias("failed_tickers")
+    lines = numbered.groupBy(line).agg(spelled)
+    count = numbered.agg(F.count(F.lit(1)).alias("num_failed"))
+    nothing = count.where("num_failed = 0").select(
+        F.lit(0).cast("bigint").alias("line_no"), F.lit(wording.NOTHING).alias("failed_tickers")
     )
+    return lines.unionByName(nothing), count
 
 
 def date_range(prices: DataFrame) -> DataFrame:
-    span = prices.agg(F.min("date").alias("first_date"), F.max("date").alias("last_date"))
-    return span.withColumn(
-        "date_range",
-        F.format_string(
-            wording.DATE_RANGE, dates.midnight_text(F.col("first_date")), dates.midnight_text(F.col("last_date"))
-        ),
-    )
+    return _with_range(prices.agg(F.min("date").alias("first_date"), F.max("date").alias("last_date")))
 
 
-def price_metrics(prices: DataFrame, universe: DataFrame, inline_limit: int = INLINE_SYMBOLS) -> DataFrame:
+def _with_range(span: DataFrame) -> DataFrame:
+    first, last = dates.midnight_text(F.col("first_date")), dates.midnight_text(F.col("last_date"))
+    return span.withColumn("date_range", F.format_string(wording.DATE_RANGE, first, last))
+
+
+def price_metrics(
+    prices: DataFrame, universe: DataFrame, names: int = NAMES_PER_LINE, root: str | None = None
+) -> DataFrame:
+    """One row per line of failed symbols; the first, line 0, also has all other metrics, which are NULL further on."""
     prices = schemas.conform_prices(prices)
     shown = schemas.measured_columns(prices, schemas.PRICES)
     preview = ordering.csv_preview(
         prices, ordering.in_order("ticker", "date", "seq"), PRICE_PREVIEW_ROWS, shown
     )
-    return single_rows.combine(
-        prices.agg(F.count(F.lit(1)).alias("num_records"), F.count_distinct("ticker").alias("num_tickers")),
-        failed_text(failed_tickers(prices, universe), inline_limit),
-        date_range(prices),
+    lines, failed = failed_lines(failed_tickers(prices, universe), names, root)
+    facts = single_rows.combine(
+        _with_range(
+            prices.agg(
+                F.count(F.lit(1)).alias("num_records"),
+                F.count_distinct("ticker").alias("num_tickers"),
+                F.min("date").alias("first_date"),
+                F.max("date").alias("last_date"),
+            )
+        ),
+        failed,
         preview.select(F.col("csv").alias("preview")),
     )
+    stacked = facts.withColumn("line_no", F.lit(0).cast("bigint")).unionByName(lines, allowMissingColumns=True)
+    columns = [*facts.columns, "failed_tickers"]
+    return stacked.groupBy("line_no").agg(*[F.max(c).alias(c) for c in columns])
 
 
 def news_metrics(news: DataFrame, universe: DataFrame | None = None) -> DataFrame:

@@ -40,9 +40,9 @@ def first_article_fields(news: DataFrame) -> DataFrame:
     return series.first_present(schemas.conform(news, schemas.NEWS), "ticker", "seq", ARTICLE_FIELDS)
 
 
-def news_digest(news: DataFrame) -> DataFrame:
-    """One numbered article per symbol in symbol order, with its printed parts."""
-    numbered = ordering.running_number(first_article_fields(news), ordering.in_order("ticker"), "position")
+def news_digest(news: DataFrame, root: str | None = None) -> DataFrame:
+    """One numbered article per symbol in symbol order, with its printed parts. ``root`` takes the numbered rows."""
+    numbered = ordering.running_number(first_article_fields(news), ordering.in_order("ticker"), "position", root)
     return numbered.select(
         "position",
         "ticker",

@@ -68,7 +68,7 @@ def summary_lines(summary: DataFrame) -> DataFrame:
 
 
 def with_labels(returns: DataFrame) -> DataFrame:
-    """Printed prices and returns beside the numbers."""
+    """Printed prices and returns beside the numbers, in the order of the rows given."""
     return schemas.conform(returns, schemas.RETURNS).select(
         "ticker",
         "date",
@@ -83,8 +83,8 @@ def with_labels(returns: DataFrame) -> DataFrame:
 
 
 def price_table(returns: DataFrame) -> DataFrame:
-    """All returns, best first: a range-partitioned sort."""
-    return with_labels(returns).orderBy(*best_first())
+    """All returns, best first: a range-partitioned sort of the numbers, labelled afterwards."""
+    return with_labels(schemas.conform(returns, schemas.RETURNS).orderBy(*best_first()))
 
 
 def quality_lines(summary: DataFrame) -> DataFrame:
@@ -104,13 +104,16 @@ def quality_lines(summary: DataFrame) -> DataFrame:
     return summary.select(F.posexplode(lines).alias("line_no", "line"))
 
 
-def recap(returns: DataFrame, news: DataFrame, quality: QualityReport, as_of: datetime | Column) -> Recap:
+def recap(
+    returns: DataFrame, news: DataFrame, quality: QualityReport, as_of: datetime | Column, root: str | None = None
+) -> Recap:
+    """All sections. ``root`` takes intermediates; without it the shared folder does."""
     summary = recap_summary(returns, quality.summary, as_of)
     return Recap(
         summary=summary,
         summary_lines=summary_lines(summary),
         top_performers=top_performers(returns),
         price_table=price_table(returns),
-        news_digest=news_digest(news),
+        news_digest=news_digest(news, root),
         quality_lines=quality_lines(quality.summary),
     )

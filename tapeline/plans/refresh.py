@@ -12,6 +12,7 @@ from tapeline.plans.prices import build_prices, require_prices
 from tapeline.plans.quality import QualityReport, quality_checks, require_quality
 from tapeline.plans.recap import recap
 from tapeline.plans.returns import build_returns
+from tapeline.session import discard, new_folder
 from tapeline.settings import Thresholds
 from tapeline.sinks import tables
 
@@ -33,18 +34,40 @@ def refresh(
     Storing a dataset before the next one uses it means each is computed once. No price at all aborts the refresh
     after the news is stored; no news at all does not.
     """
+    spark = universe.sparkSession
+    work = new_folder(spark, "_work", root)
+    options = (thresholds, keep_last, keep_first, limit_to_window, min_score)
+    try:
+        return _refresh(payloads, feeds, universe, root, work, as_of, *options)
+    finally:
+        discard(spark, work)
+
+
+def _refresh(
+    payloads: DataFrame,
+    feeds: DataFrame,
+    universe: DataFrame,
+    root: str,
+    work: str,
+    as_of: datetime,
+    thresholds: Thresholds,
+    keep_last: int | None,
+    keep_first: int | None,
+    limit_to_window: bool,
+    min_score: float | None,
+) -> dict[str, DataFrame]:
+    """``refresh`` with ``work`` for intermediates."""
+    spark = universe.sparkSession
     stored: dict[str, DataFrame] = {}
     stored["news"] = tables.materialise(
         build_news(feeds, universe, keep_first), root, "news", compact=True
     )
     window_end = as_of if limit_to_window else None
-    # Looking for a first bar needs no shuffle, and a failed refresh leaves the stored prices untouched.
-    require_prices(build_prices(payloads, universe, window_end, keep_last=None))
-    prices = build_prices(payloads, universe, window_end, keep_last)
-    stored["prices"] = tables.materialise(prices, root, "prices", compact=True)
-    # With a limit on bars per symbol no series is long enough to need splitting.
-    returns = build_returns(stored["prices"], split_rows=None) if keep_last else build_returns(stored["prices"])
-    stored["returns"] = tables.materialise(returns, root, "returns")
+    # Payloads are decoded once, aside, so that a refresh without any price leaves the stored prices untouched.
+    prices = tables.materialise(build_prices(payloads, universe, window_end, keep_last), work, "prices", compact=True)
+    require_prices(prices)
+    stored["prices"] = tables.materialise(prices, root, "prices")
+    stored["returns"] = tables.materialise(build_returns(stored["prices"], root=work), root, "returns")
 
     report = quality_checks(stored["prices"], stored["returns"], universe, thresholds)
     stored["quality_checks"] = tables.materialise(report.checks, root, "quality_checks")
@@ -55,12 +78,13 @@ def refresh(
     )
     require_quality(report.summary, min_score)
 
-    spark, folder = universe.sparkSession, tables.dataset_path(root, "recap")
+    folder = tables.dataset_path(root, "recap")
     run_date = tables.run_date_of(spark, as_of)
-    sections = recap(stored["returns"], stored["news"], report, as_of).sections()
+    sections = recap(stored["returns"], stored["news"], report, as_of, work).sections()
     tables.write_recap(sections, folder, run_date)
     stored["recap_metrics"] = tables.recap_metrics(spark, folder, run_date, list(sections))
-    stored["price_metrics"] = metrics.price_metrics(stored["prices"], universe)
+    lines = metrics.price_metrics(stored["prices"], universe, root=work)
+    stored["price_metrics"] = tables.materialise(lines, root, "price_metrics")
     stored["news_metrics"] = metrics.news_metrics(stored["news"], universe)
     stored["returns_metrics"] = metrics.returns_metrics(stored["returns"])
     stored["quality_metrics"] = metrics.quality_metrics(report.summary)

@@ -11,12 +11,14 @@ from tapeline.operators import keys, ordering, series
 TOP_PERFORMERS = 5
 
 
-def previous_closes(prices: DataFrame, split_rows: int | None = keys.SPLIT_ROWS) -> DataFrame:
+def previous_closes(
+    prices: DataFrame, split_rows: int | None = keys.SPLIT_ROWS, root: str | None = None
+) -> DataFrame:
     """Prices with the close of the previous row of the symbol (whatever its date)."""
     prices = schemas.conform_prices(prices).select(
         "ticker", "date", numbers.nan_as_null(F.col("close")).alias("close"), "seq"
     )
-    return series.previous_value(prices, "ticker", ["date", "seq"], "close", "prev_close", split_rows)
+    return series.previous_value(prices, "ticker", ["date", "seq"], "close", "prev_close", split_rows, root)
 
 
 def with_changes(closes: DataFrame) -> DataFrame:
@@ -27,9 +29,11 @@ def with_changes(closes: DataFrame) -> DataFrame:
     )
 
 
-def build_returns(prices: DataFrame, split_rows: int | None = keys.SPLIT_ROWS) -> DataFrame:
+def build_returns(
+    prices: DataFrame, split_rows: int | None = keys.SPLIT_ROWS, root: str | None = None
+) -> DataFrame:
     """One row per price that has a previous close."""
-    closes = previous_closes(prices, split_rows).where(F.col("prev_close").isNotNull())
+    closes = previous_closes(prices, split_rows, root).where(F.col("prev_close").isNotNull())
     return with_changes(closes).select(*schemas.RETURNS.names)
 
 

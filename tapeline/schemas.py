@@ -23,15 +23,17 @@ RETURNS = _table(ticker=STRING, date=DATE, close=DOUBLE, prev_close=DOUBLE, dail
 CHECKS = _table(check_id=INT, name=STRING, status=STRING, observed=DOUBLE, threshold=DOUBLE, message=STRING)
 WARNINGS = _table(check_id=INT, ticker=STRING, value=DOUBLE, message=STRING)
 
-# Raw payload and feed bodies: only the fields the plans read, so the parsers skip everything else.
-PAYLOAD_BODY = (
-    "chart STRUCT<result: ARRAY<STRUCT<timestamp: ARRAY<DOUBLE>, indicators: STRUCT<quote: ARRAY<STRUCT<"
-    "open: ARRAY<DOUBLE>, high: ARRAY<DOUBLE>, low: ARRAY<DOUBLE>, close: ARRAY<DOUBLE>, volume: ARRAY<DOUBLE>"
-    ">>>>>>"
+# Raw payloads and feed items: only the fields the plans read, so the parsers skip everything else. Numbers are read as
+# text, because some feeds quote them; UNREADABLE takes an item that does not parse.
+PAYLOAD_BODIES = (
+    "ARRAY<STRUCT<chart: STRUCT<result: ARRAY<STRUCT<timestamp: ARRAY<STRING>, indicators: STRUCT<quote: ARRAY<STRUCT<"
+    "open: ARRAY<STRING>, high: ARRAY<STRING>, low: ARRAY<STRING>, close: ARRAY<STRING>, volume: ARRAY<STRING>"
+    ">>>>>>>>"
 )
-FEED_BODY = (
-    "channel STRUCT<item: ARRAY<STRUCT<title: STRING, link: STRING, pubDate: STRING, "
-    "source: STRUCT<_VALUE: STRING, _url: STRING>>>>"
+UNREADABLE = "unreadable"
+FEED_ITEM = (
+    "title STRING, link STRING, pubDate STRING, source STRUCT<_VALUE: STRING, _url: STRING>, "
+    f"{UNREADABLE} STRING"
 )
 
 

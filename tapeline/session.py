@@ -1,8 +1,7 @@
-"""Session settings for tests and benchmarks, and the shared scratch folder."""
+"""Session settings for tests and benchmarks, and folders for intermediates."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,24 +25,24 @@ def local_session(cores: int | str = 8, app: str = "tapeline", shuffle_partition
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared folder (``spark.checkpoint.dir``); a temporary one only in local mode."""
-    context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if not folder:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-        folder = tempfile.mkdtemp(prefix="tapeline-")
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(folder)
-    return folder
-
-
-def new_folder(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
-def hold(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` reliably, so that everything built on it sees the same rows even when executors are lost."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """The cluster's shared folder: ``spark.checkpoint.dir``, or where that is unset a folder beside the warehouse."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+
+
+def new_folder(spark: SparkSession, name: str, root: str | None = None) -> str:
+    """A fresh path below ``root``, or below the shared folder."""
+    return f"{(root or shared_folder(spark)).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def hold(df: DataFrame, root: str | None = None) -> DataFrame:
+    """Store ``df`` once, so that everything built on it sees the same rows even when executors are lost."""
+    folder = new_folder(df.sparkSession, "held", root)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def discard(spark: SparkSession, folder: str) -> None:
+    """Remove a folder of intermediates on whatever file system it is."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -10,13 +10,13 @@ from tapeline.schemas import UNIVERSE
 
 # The default symbols, by segment.
 DEFAULT_SYMBOLS = {
-    "Tech": "AAPL MSFT GOOGL AMZN META NVDA TSLA NFLX AMD INTC",
-    "Finance": "JPM BAC GS MS WFC C BLK V MA AXP",
-    "Healthcare": "JNJ UNH PFE ABBV TMO MRK LLY ABT DHR BMY",
-    "Consumer": "WMT PG KO PEP NKE COST HD MCD SBUX DIS",
-    "Energy": "XOM CVX COP SLB EOG",
-    "Indices & ETFs": "SPY QQQ DIA IWM VTI",
-    "Crypto": "BTC-USD ETH-USD",
+    "Tech": ["AAPL", "MSFT", "GOOGL", "AMZN", "META", "NVDA", "TSLA", "NFLX", "AMD", "INTC"],
+    "Finance": ["JPM", "BAC", "GS", "MS", "WFC", "C", "BLK", "V", "MA", "AXP"],
+    "Healthcare": ["JNJ", "UNH", "PFE", "ABBV", "TMO", "MRK", "LLY", "ABT", "DHR", "BMY"],
+    "Consumer": ["WMT", "PG", "KO", "PEP", "NKE", "COST", "HD", "MCD", "SBUX", "DIS"],
+    "Energy": ["XOM", "CVX", "COP", "SLB", "EOG"],
+    "Indices & ETFs": ["SPY", "QQQ", "DIA", "IWM", "VTI"],
+    "Crypto": ["BTC-USD", "ETH-USD"],
 }
 
 
@@ -32,7 +32,7 @@ class Thresholds:
 
 def default_universe(spark: SparkSession) -> DataFrame:
     """The 52 default symbols with their segment and position."""
-    symbols = [(s, segment) for segment, names in DEFAULT_SYMBOLS.items() for s in names.split()]
+    symbols = [(s, segment) for segment, names in DEFAULT_SYMBOLS.items() for s in names]
     rows = [(symbol, segment, i) for i, (symbol, segment) in enumerate(symbols, 1)]
     return spark.createDataFrame(rows, UNIVERSE)
 

@@ -7,6 +7,7 @@ parsers, so they run without a shuffle and scale with the number of documents.
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -16,13 +17,27 @@ from tapeline.functions import dates, numbers
 HTTP_OK = 200
 QUOTE_FIELDS = ("open", "high", "low", "close", "volume")
 
-# Epoch seconds and volumes outside these limits cannot be stored; they reject their document.
+# Epoch seconds and volumes outside these limits cannot be stored; they reject their document. The latter is 2 to the 63.
 MAX_EPOCH = 9_223_372_036.0
-MAX_VOLUME = 9.2e18
+MAX_VOLUME = 9_223_372_036_854_775_808.0
 
 # An explicit option set also keeps the optimizer from cancelling a parse against a preceding to_json.
 JSON_OPTIONS = {"mode": "PERMISSIVE"}
-XML_OPTIONS = {"mode": "PERMISSIVE", "ignoreSurroundingSpaces": "false", "nullValue": "\u0001"}
+XML_OPTIONS = {
+    "mode": "PERMISSIVE",
+    "ignoreSurroundingSpaces": "false",
+    "nullValue": "\u0001",
+    "columnNameOfCorruptRecord": schemas.UNREADABLE,
+}
+
+# Complete item elements, wherever they stand in a feed.
+ITEMS = r"(?s)<item(?:\s[^>]*)?/>|<item(?:\s[^>]*)?>.*?</item\s*>"
+# An ampersand that begins no reference and is not in a CDATA section.
+STRAY_AMPERSAND = (
+    r"(?s)&(?!(?:amp|lt|gt|quot|apos|#[0-9]+|#x[0-9A-Fa-f]+);)(?!(?:(?!<!\[CDATA\[).)*?\]\]>)"
+)
+# CDATA sections (kept), and tags of all elements but the item and its four fields.
+OTHER_TAGS = r"(?s)(<!\[CDATA\[.*?\]\]>)|</?(?!(?:item|title|link|pubDate|source)[\s/>])[A-Za-z][^>]*>"
 
 
 def answered(documents: DataFrame) -> DataFrame:
@@ -58,24 +73,32 @@ def decode_payloads(
     """
     documents = answered(payloads)
     keys = [c for c in ("ticker", "part") if c in documents.columns]
-    complete = F.endswith(F.rtrim("body", F.lit(" \t\r\n")), F.lit("}"))
-    parsed = F.from_json("body", schemas.PAYLOAD_BODY, JSON_OPTIONS)["chart"]["result"]
-    documents = evaluated(documents, keys, F.when(complete, F.get(parsed, F.lit(0))))
+    # As the only element of an array, a body that is cut off or followed by anything does not parse.
+    listed = F.from_json(F.concat(F.lit("["), F.col("body"), F.lit("]")), schemas.PAYLOAD_BODIES, JSON_OPTIONS)
+    documents = evaluated(documents, keys, F.struct(listed.alias("listed"))).where(F.size("listed") == 1)
+    documents = documents.select(*keys, F.inline(F.array(F.get(F.get("listed", F.lit(0))["chart"]["result"], F.lit(0)))))
     quote = F.get(F.col("indicators.quote"), F.lit(0))
-    documents = documents.select(*keys, "timestamp", *[quote[name].alias(name) for name in QUOTE_FIELDS])
+    texts = {"timestamp": F.col("timestamp"), **{name: quote[name] for name in QUOTE_FIELDS}}
+    numbers_read = [F.transform(values, _number).alias(name) for name, values in texts.items()]
+    # Values that are no numbers are told from missing ones by their place.
+    odd = [F.transform(values, lambda x: x.isNotNull() & _number(x).isNull()).alias(f"odd_{name}") for name, values in texts.items()]
+    documents = evaluated(documents, keys, F.struct(*numbers_read, *odd))
 
     # The arrays belong together by position, up to the number of timestamps; bars without a close are not kept.
     count = F.size("timestamp")
     closes = F.slice("close", F.lit(1), count)
-    kept = F.array_compact(F.transform(closes, lambda close, i: F.when(close.isNotNull(), i)))
+    kept = F.array_compact(
+        F.transform(closes, lambda close, i: F.when(close.isNotNull() | F.get("odd_close", i), i))
+    )
     arrays = ["timestamp", *QUOTE_FIELDS]
+    marks = [f"odd_{name}" for name in arrays]
     documents = evaluated(
-        documents.where((F.size("close") >= count) & (count > 0)), [*keys, *arrays], F.struct(kept.alias("kept"))
+        documents.where((F.size("close") >= count) & (count > 0)), [*keys, *arrays, *marks], F.struct(kept.alias("kept"))
     )
 
-    # Every other array must reach the last kept bar, and each kept bar must hold storable values.
+    # Every other array must reach the last kept bar, and each kept bar must hold storable numbers.
     reach = F.least(*[F.coalesce(F.size(name), F.lit(-1)) for name in arrays])
-    documents = documents.where((reach > F.try_element_at("kept", F.lit(-1))) & _storable())
+    documents = documents.where((reach > F.try_element_at("kept", F.lit(-1))) & _readable(marks) & _storable())
 
     kept = F.col("kept")
     if as_of is not None:
@@ -96,6 +119,22 @@ def decode_payloads(
     )
 
 
+def _number(text: Column) -> Column:
+    """A JSON value, read as text, as a number; NULL when it is none."""
+    return F.btrim(text, F.lit('"')).try_cast("double")
+
+
+def _readable(marks: list[str]) -> Column:
+    """Whether no value of a kept bar is something else than a number."""
+    none = [~F.array_contains(mark, True) for mark in marks]
+    ordinary = F.coalesce(reduce(lambda a, b: a & b, none), F.lit(False))
+
+    def read(i: Column) -> Column:
+        return reduce(lambda a, b: a & b, [~F.coalesce(F.get(mark, i), F.lit(False)) for mark in marks])
+
+    return F.when(ordinary, F.lit(True)).otherwise(F.forall("kept", read))
+
+
 def _storable() -> Column:
     """Whether the time and volume of all kept bars can be stored.
 
@@ -117,17 +156,22 @@ def _storable() -> Column:
 
 
 def decode_feeds(feeds: DataFrame, keep_first: int | None = None) -> DataFrame:
-    """News feeds to one row per item, in feed order; ``keep_first`` limits the items of each document.
+    """News feeds to one row per readable item, in feed order; ``keep_first`` limits the items of each document.
 
-    An absent field becomes ``N/A`` (the link: empty); a present but empty one stays empty.
+    Complete item elements are cut out at any depth and parsed one by one, so that what is wrong elsewhere in a feed, or
+    missing at its end, does no harm. Stray ampersands are escaped and nested markup leaves its words. An absent field
+    becomes ``N/A`` (the link: empty); a present but empty one stays empty.
     """
     documents = answered(feeds)
-    items = F.from_xml("body", schemas.FEED_BODY, XML_OPTIONS)["channel"]["item"]
+    keys = [c for c in ("ticker", "part") if c in documents.columns]
+    items = F.regexp_extract_all("body", F.lit(ITEMS), F.lit(0))
     if keep_first is not None:
         items = F.slice(items, 1, keep_first)
-    keys = [c for c in ("ticker", "part") if c in documents.columns]
-    rows = documents.select(*keys, F.posexplode(items).alias("pos", "item"))
+    cut = documents.select(*keys, F.posexplode(items).alias("pos", "text"))
+    plain = F.regexp_replace(F.regexp_replace("text", STRAY_AMPERSAND, "&amp;"), OTHER_TAGS, "$1")
+    read = evaluated(cut, [*keys, "pos"], F.struct(F.from_xml(plain, schemas.FEED_ITEM, XML_OPTIONS).alias("item")))
     item = F.col("item")
+    rows = read.where(item[schemas.UNREADABLE].isNull())
     absent = F.lit(wording.ABSENT)
     return rows.select(
         "ticker",

@@ -9,6 +9,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tapeline import schemas
 from tapeline.sources.documents import HTTP_OK
 
+# Bits of a part's number; 31 bits are left above the position in a document, the rest of them is for the batch.
+PART_BITS = 20
+MAX_BATCHES = 1 << 11
+
 
 def landed_table(spark: SparkSession, path: str) -> DataFrame:
     """A stored Parquet table of documents."""
@@ -28,7 +32,20 @@ def landed_files(spark: SparkSession, path: str) -> DataFrame:
 def landed_batches(*batches: DataFrame) -> DataFrame:
     """Separately landed batches as one table; the n-th batch continues the series and feeds of those before it.
 
-    Batches without part numbers count as one part per ticker, numbered by batch.
+    Parts are numbered anew by (batch, part), so no two documents of a ticker share a number. A batch without part numbers
+    counts as one part per ticker. Parts must be below 2 to the PART_BITS, which leaves room for a batch number in front and
+    the positions in a document behind; a larger one raises.
     """
-    numbered = [b if "part" in b.columns else b.withColumn("part", F.lit(i).cast("bigint")) for i, b in enumerate(batches)]
-    return reduce(lambda a, b: a.unionByName(b), [schemas.conform_documents(b) for b in numbered])
+    return reduce(lambda a, b: a.unionByName(b), [_numbered(b, i) for i, b in enumerate(batches)])
+
+
+def _numbered(batch: DataFrame, number: int) -> DataFrame:
+    if number >= MAX_BATCHES:
+        raise ValueError(f"more than {MAX_BATCHES} batches")
+    if "part" not in batch.columns:
+        batch = batch.withColumn("part", F.lit(0).cast("bigint"))
+    batch = schemas.conform_documents(batch)
+    part = F.coalesce("part", F.lit(0).cast("bigint"))
+    fits = part.between(0, (1 << PART_BITS) - 1)
+    wrong = F.raise_error(F.concat(F.lit("part number out of range: "), part.cast("string"))).cast("bigint")
+    return batch.withColumn("part", F.when(fits, part + (number << PART_BITS)).otherwise(wrong))

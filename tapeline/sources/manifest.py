@@ -11,6 +11,9 @@ from tapeline.functions import dates, text
 # Public endpoints and their parameters.
 QUOTE_ENDPOINT = "https://query1.finance.yahoo.com/v8/finance/chart/"
 NEWS_ENDPOINT = "https://news.google.com/rss/search?q="
+QUOTE_FROM = "?period1="
+QUOTE_TO = "&period2="
+QUOTE_INTERVAL = "&interval=1d"
 NEWS_PARAMETERS = "&hl=en-US&gl=US&ceid=US:en"
 
 
@@ -31,11 +34,11 @@ def request_manifest(universe: DataFrame, as_of: datetime | Column) -> DataFrame
         F.concat(
             F.lit(QUOTE_ENDPOINT),
             text.url_text(F.col("ticker")),
-            F.lit("?period1="),
+            F.lit(QUOTE_FROM),
             F.col("from_ts").cast("string"),
-            F.lit("&period2="),
+            F.lit(QUOTE_TO),
             F.col("to_ts").cast("string"),
-            F.lit("&interval=1d"),
+            F.lit(QUOTE_INTERVAL),
         ).alias("price_url"),
         F.concat(
             F.lit(NEWS_ENDPOINT), text.url_text(F.col("phrase")), F.lit(NEWS_PARAMETERS)

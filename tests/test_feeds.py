@@ -59,6 +59,17 @@ def test_bad_feeds_give_no_rows(spark, text):
     assert decode(spark, text) == []
 
 
+def test_readable_items_of_imperfect_feeds(spark):
+    good = "<item><title>fine</title></item>"
+    titles = lambda text: [r.title for r in decode(spark, text)]
+    assert titles(feed(good, "<item><title>a & b &nbsp; c &amp; d</title></item>")) == ["fine", "a & b &nbsp; c & d"]
+    assert titles("<rss><channel>" + good + "<item><title>cut") == ["fine"]
+    assert titles("<rss><channel>" + good + "</channel><channel>" + good * 2 + "</channel></rss>") == ["fine"] * 3
+    assert titles("<rss>" + good + "<channel><deep>" + good + "</deep></channel></rss>") == ["fine"] * 2
+    assert titles(feed("<item><title>a <b>bold</b> z</title><media:x u='1'/><description>d<br></description></item>")) == ["a bold z"]
+    assert titles(feed("<item><title><![CDATA[a & <b>b</b>]]></title></item>")) == ["a & <b>b</b>"]
+
+
 def test_unanswered_requests_give_no_rows(spark):
     assert decode(spark, feed("<item><title>t</title></item>"), status=503) == []
 

@@ -2,6 +2,8 @@
 
 from datetime import date, datetime
 
+import pytest
+
 from tapeline import schemas
 from tapeline.plans import metrics
 from tapeline.plans.news import build_news
@@ -59,5 +61,25 @@ def test_universe_of_any_table(spark):
     universe = universe_of(table, "id", "sector")
     assert [(f.name, f.dataType) for f in universe.schema] == [(f.name, f.dataType) for f in schemas.UNIVERSE]
     prices = spark.createDataFrame([("2",)], "ticker string")
-    failed = metrics.failed_text(metrics.failed_tickers(prices, universe)).first()
-    assert failed.failed_tickers == "1, 3"
+    lines, _ = metrics.failed_lines(metrics.failed_tickers(prices, universe))
+    assert lines.first().failed_tickers == "1, 3"
+
+
+def test_batches_never_share_a_number(spark):
+    parted = DOCUMENTS + ", part bigint"
+    first = spark.createDataFrame([("A", 200, body([1.0]), 0), ("A", 200, body([2.0]), 1)], parted)
+    second = spark.createDataFrame([("A", 200, body([3.0]), 0), ("A", 200, body([4.0]), 1)], parted)
+    plain = spark.createDataFrame([("A", 200, body([5.0]))], DOCUMENTS)
+    for batches, closes in (
+        ([first, second], [1.0, 2.0, 3.0, 4.0]),
+        ([first, plain, second], [1.0, 2.0, 5.0, 3.0, 4.0]),
+        ([plain, first], [5.0, 1.0, 2.0]),
+    ):
+        rows = build_prices(landing.landed_batches(*batches), keep_last=None).orderBy("seq").collect()
+        assert [r.close for r in rows] == closes and len({r.seq for r in rows}) == len(rows)
+
+
+def test_part_numbers_beyond_the_room_for_them_raise(spark):
+    batch = spark.createDataFrame([("A", 200, body([1.0]), 1 << 20)], DOCUMENTS + ", part bigint")
+    with pytest.raises(Exception, match="part number out of range"):
+        landing.landed_batches(batch).collect()

@@ -65,6 +65,9 @@ def test_last_bars_are_taken_after_dropping_missing_closes(spark):
         '{"chart":{"result":[{"timestamp":[1]}]}}',
         '{"chart":{"result":[{"indicators":{"quote":[{"close":[1]}]}}]}}',
         body([1, 2, 3]) + " and more",
+        body([1, 2, 3]) + body([4]),
+        body([1, 2, 3]) + "," + body([4]),
+        *[body([1, 2, 3])[:-n] for n in range(1, 7)],
         body(["x", 2, 3]),
         body([1], timestamp=[START, START + DAY, START + 2 * DAY]),
         body([1, 2], open=[1]),
@@ -81,6 +84,17 @@ def test_undecodable_documents_give_no_rows(spark, text):
     assert decode(spark, text) == []
 
 
+def test_numbers_may_be_texts(spark):
+    rows = decode(spark, body(["1.5", 2.0, None], open=["7", None, "x"], volume=["12", 3, 4]))
+    assert [(r.close, r.open, r.volume) for r in rows] == [(1.5, 7.0, 12), (2.0, 0.0, 3)]
+    assert decode(spark, body([1.0, 2.0], open=[1, "x"])) == []
+
+
+def test_volumes_up_to_the_largest_integer(spark):
+    assert [r.volume for r in decode(spark, body([1], volume=[9_220_000_000_000_000_000]))] == [9_220_000_000_000_000_000]
+    assert decode(spark, body([1], volume=[9.3e18])) == []
+
+
 def test_other_documents_survive_a_bad_one(spark):
     rows = [("A", 200, body([1, 2])), ("B", 200, "{"), ("C", 429, body([1, 2])), ("D", 200, None), ("E", 200, body([5]))]
     df = decode_payloads(spark.createDataFrame(rows, DOCUMENTS))

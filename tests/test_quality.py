@@ -149,6 +149,8 @@ def test_duplicate_rows_match_null_keys_and_hot_keys(spark, split_rows):
     found = sorted(r.seq for r in duplicates.duplicate_rows(df, ["ticker", "date"], split_rows).collect())
     assert found == [0, 1, 2, 3, 4, 5, *range(10, 19)]
     assert duplicates.duplicate_count(df, ["ticker", "date"]).first()[0] == len(found)
+    salted = duplicates.duplicate_rows(df, ["ticker", "date"], split_rows, most_broadcast=0)
+    assert sorted(r.seq for r in salted.collect()) == found
 
 
 def test_failed_tickers_in_universe_order(spark):
@@ -156,11 +158,23 @@ def test_failed_tickers_in_universe_order(spark):
     symbols = universe(spark, "edcba")
     failed = metrics.failed_tickers(bars, symbols).orderBy("position").collect()
     assert [r.ticker for r in failed] == ["e", "d", "b", "a"]
-    text = metrics.failed_text(metrics.failed_tickers(bars, symbols)).first()
-    assert (text.num_failed, text.failed_tickers) == (4, "e, d, b, a")
-    assert metrics.failed_text(metrics.failed_tickers(bars, symbols), limit=3).first().failed_tickers == "4 tickers"
+    lines, count = metrics.failed_lines(metrics.failed_tickers(bars, symbols))
+    assert count.first().num_failed == 4 and [tuple(r) for r in lines.collect()] == [(0, "e, d, b, a")]
+    lines, _ = metrics.failed_lines(metrics.failed_tickers(bars, symbols), names=3)
+    assert sorted(tuple(r) for r in lines.collect()) == [(0, "e, d, b"), (1, "a")]
     everything = table(spark, [(t, 0, 1.0) for t in "abcde"])
-    assert metrics.failed_text(metrics.failed_tickers(everything, symbols)).first().failed_tickers == "None"
+    lines, count = metrics.failed_lines(metrics.failed_tickers(everything, symbols))
+    assert count.first().num_failed == 0 and [tuple(r) for r in lines.collect()] == [(0, "None")]
+
+
+def test_every_failed_symbol_is_named(spark):
+    symbols = spark.range(20_002).selectExpr("cast(id as string) as ticker", "id as position")
+    bars = table(spark, [("7", 0, 1.0)])
+    rows = metrics.price_metrics(bars, symbols).orderBy("line_no").collect()
+    assert (rows[0].num_failed, rows[0].num_records, len(rows)) == (20_001, 1, 201)
+    assert all(r.num_failed is None for r in rows[1:])
+    named = [name for r in rows for name in r.failed_tickers.split(", ")]
+    assert named == [str(i) for i in range(20_002) if i != 7]
 
 
 def test_quality_metrics_texts(spark):
