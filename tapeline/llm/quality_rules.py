@@ -32,14 +32,14 @@ STATISTICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_wor
 
 #: name: (value, poor if at least, good if at most). A value that is null, or between the two, is an abstention.
 RULES = {
-    "symbols": ("n_symbols / n_words", 0.10, 0.02),
-    "capitals": ("n_capitals / n_letters", 0.50, 0.20),
-    "marks": ("n_marks / n_words", 0.60, 0.35),
-    "repeated_lines": ("n_dup_lines / n_lines", 0.30, 0.05),
-    "repeated_words": ("n_repeat_words / n_words", 0.40, 0.10),
-    "open_lines": ("1 - n_closed_lines / n_lines", 0.80, 0.30),
-    "word_length": ("abs(word_chars / n_words - 6)", 4.0, 2.5),
-    "other_characters": ("1 - n_letters / word_chars", 0.30, 0.15),
+    "symbols": ("try_divide(n_symbols, n_words)", 0.10, 0.02),
+    "capitals": ("try_divide(n_capitals, n_letters)", 0.50, 0.20),
+    "marks": ("try_divide(n_marks, n_words)", 0.60, 0.35),
+    "repeated_lines": ("try_divide(n_dup_lines, n_lines)", 0.30, 0.05),
+    "repeated_words": ("try_divide(n_repeat_words, n_words)", 0.40, 0.10),
+    "open_lines": ("1 - try_divide(n_closed_lines, n_lines)", 0.80, 0.30),
+    "word_length": ("abs(try_divide(word_chars, n_words) - 6)", 4.0, 2.5),
+    "other_characters": ("1 - try_divide(n_letters, word_chars)", 0.30, 0.15),
 }
 
 _SYMBOL = np.zeros(256, bool)
@@ -137,7 +137,7 @@ def pattern(rules: dict = RULES):
     """The votes of all rules as one number: base 3, the first rule last."""
     number = F.lit(0)
     for value, poor, good in reversed(rules.values()):
-        value = F.try_divide(F.expr(value).cast("double"), F.lit(1.0))
+        value = F.expr(value)
         number = number * 3 + F.when(value >= poor, 0).when(value <= good, 2).otherwise(1)
     return number.cast("int")
 
