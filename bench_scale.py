@@ -8,7 +8,6 @@ from __future__ import annotations
 import json
 import os
 import sys
-import tempfile
 import time
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -18,7 +17,7 @@ from tapeline.operators import duplicates
 from tapeline.plans import quality
 from tapeline.plans.prices import last_bars
 from tapeline.plans.returns import build_returns, top_performers
-from tapeline.session import local_session
+from tapeline.session import discard, local_session, new_folder
 from tapeline.settings import Thresholds
 
 FOLDER = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -57,7 +56,7 @@ def main() -> None:
     spark = local_session(app="bench_scale", shuffle_partitions=64)
     for copies in [int(a) for a in sys.argv[1:]] or [10, 100]:
         for skewed in (False, True):
-            path = f"{tempfile.mkdtemp(prefix='run-')}/prices"
+            path = new_folder(spark, "prices")
             copies_of(spark, copies, skewed).repartition(32).write.parquet(path)
             prices = spark.read.parquet(path)
             seconds = {}
@@ -66,6 +65,7 @@ def main() -> None:
                 plan.write.format("noop").mode("overwrite").save()
                 seconds[name] = round(time.perf_counter() - start, 2)
             print(json.dumps({"rows": prices.count(), "skewed": skewed, "seconds": seconds}), flush=True)
+            discard(spark, path)
     spark.stop()
 
 
