@@ -25,9 +25,15 @@ def local_session(cores: int | str = 8, app: str = "tapeline", shuffle_partition
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared folder: ``spark.checkpoint.dir``, or where that is unset a folder beside the warehouse."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+    """The cluster's shared folder: ``spark.checkpoint.dir``, or where that is unset a folder in the warehouse, which all
+    executors reach. A session that is one process on one machine uses its own scratch folder instead."""
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if folder:
+        return folder
+    if context.master == "local" or context.master.startswith("local["):
+        return f"{spark.conf.get('spark.local.dir', '/tmp')}/tapeline-{context.applicationId}"
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
 
 
 def new_folder(spark: SparkSession, name: str, root: str | None = None) -> str:
