@@ -19,18 +19,21 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Text of a block, about.
-BLOCK_BYTES = 8 << 20
+#: Text of a block, about, and text whose keys make up one key range. Blocks times ranges is the number of rows of a
+#: question: for much larger corpora, larger blocks (and executors) keep these rows long.
+BLOCK_BYTES = 4 << 20
+RANGE_BYTES = 64 << 20
 
 ASK = "block int, part int, size int, asked binary, extra binary"
 REPLY = "block int, question int, part int, answers binary"
 
 
 def dealt(docs: DataFrame, key: str = "doc_id", text: str = "text", block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, int]:
-    """Rows (block, id, body), the text as zstandard, by block; and the number of blocks. Null ids and texts stay null."""
+    """Rows (block, id, body), the text as zstandard, by block; and the number of key ranges. Null ids and texts stay null."""
     spark = docs.sparkSession
     total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
-    n = max(-(-total // block_bytes), int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
+    least = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    n, ranges = max(-(-total // block_bytes), least), max(-(-total // RANGE_BYTES), least)
     read = docs.select(
         F.pmod(F.xxhash64(key, F.octet_length(text)), F.lit(n)).cast("int").alias("block"), F.col(key).cast("long").alias("id"), F.col(text).alias("text")
     )
@@ -41,7 +44,7 @@ def dealt(docs: DataFrame, key: str = "doc_id", text: str = "text", block_bytes:
             body = [None if x is None else press.compress(x.encode("utf-8", "surrogatepass")) for x in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(body, pa.binary())], names=["block", "id", "body"])
 
-    return read.mapInArrow(packed, "block int, id long, body binary"), n
+    return read.mapInArrow(packed, "block int, id long, body binary"), ranges
 
 
 def bodies(block: pa.Table) -> tuple[pa.Array, pa.Array]:
@@ -53,12 +56,41 @@ def bodies(block: pa.Table) -> tuple[pa.Array, pa.Array]:
     return pa.array([ids[i] for i in order], pa.int64()), pa.array([texts[i] for i in order], pa.binary())
 
 
-def asked(block: int, n: int, keys: np.ndarray, extra: np.ndarray | None = None) -> pa.Table:
-    """One question row for each key range. ``keys``: sorted, uint64, or pairs of them by rows; ``extra``: of any type, as many."""
+def top(values: np.ndarray, kept: int) -> np.ndarray:
+    """Values with only their ``kept`` highest bytes."""
+    return values & np.uint64(2**64 - 2 ** (64 - 8 * kept))
+
+
+def _written(keys: np.ndarray, kept: tuple[int, ...]) -> np.ndarray:
+    """The highest bytes of each column of keys, one row of bytes per key."""
+    columns = np.ascontiguousarray(keys).reshape(len(keys), len(kept), 1).view(np.uint8)
+    return np.concatenate([columns[:, k, 8 - size :] for k, size in enumerate(kept)], 1)
+
+
+def _read(data: bytes, kept: tuple[int, ...]) -> np.ndarray:
+    rows = np.frombuffer(data, np.uint8).reshape(-1, sum(kept))
+    columns = np.zeros((len(rows), len(kept), 8), np.uint8)
+    at = 0
+    for k, size in enumerate(kept):
+        columns[:, k, 8 - size :] = rows[:, at : at + size]
+        at += size
+    keys = columns.view("<u8").reshape(len(rows), len(kept))
+    return keys[:, 0] if len(kept) == 1 else keys
+
+
+def _short(extra: np.ndarray) -> np.ndarray:
+    """Ids in half the room where they fit."""
+    return extra.astype("u4") if extra.dtype == np.int64 and len(extra) and extra.min() >= 0 and extra.max() < 2**32 else extra
+
+
+def asked(block: int, n: int, keys: np.ndarray, extra: np.ndarray, kept: tuple[int, ...]) -> pa.Table:
+    """One question row for each key range. ``keys``: sorted, uint64, or several of them by rows; ``extra``: uint8 or int64,
+    as many. ``kept``: how many of the highest bytes of each key are sent; the others must be 0."""
     first = keys if keys.ndim == 1 else keys[:, 0]
     parts = _parts(first, n)
+    written = _written(keys, kept)
     cuts = np.flatnonzero(np.r_[True, np.diff(parts) != 0, True]) if len(parts) else np.zeros(1, int)
-    rows = [(int(parts[a]), b - a, keys[a:b].tobytes(), b"" if extra is None else extra[a:b].tobytes()) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+    rows = [(int(parts[a]), b - a, written[a:b].tobytes(), _short(extra[a:b]).tobytes()) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
     part, size, data, more = zip(*rows, strict=True) if rows else ((), (), (), ())
     return pa.table(
         {"block": pa.array([block] * len(rows), pa.int32()), "part": pa.array(part, pa.int32()), "size": pa.array(size, pa.int32()), "asked": pa.array(data, pa.binary()), "extra": pa.array(more, pa.binary())}
@@ -70,16 +102,17 @@ def _parts(first: np.ndarray, n: int) -> np.ndarray:
     return ((first >> np.uint64(32)) * np.uint64(n) >> np.uint64(32)).astype(np.int64)
 
 
-def answered(questions: DataFrame, number: int, answer: Callable[[np.ndarray, np.ndarray, np.ndarray], np.ndarray], width: int = 1, extra: str = "u1", kind: str = "u1") -> DataFrame:
-    """Replies to ``questions``: ``answer(keys, extra, block)`` gives one number of type ``kind`` for each entry of a range."""
+def answered(questions: DataFrame, number: int, answer: Callable[[np.ndarray, np.ndarray], np.ndarray], kept: tuple[int, ...], kind: str = "u1") -> DataFrame:
+    """Replies to ``questions``: ``answer(keys, extra)`` gives one number of type ``kind`` for each entry of a range."""
 
     def reply(group: pa.Table) -> pa.Table:
         group = group.sort_by("block")
         sizes = group["size"].to_numpy().astype(np.int64)
-        keys = np.frombuffer(b"".join(group["asked"].to_pylist()), np.uint64)
-        more = np.frombuffer(b"".join(group["extra"].to_pylist()), extra)
-        keys = keys if width == 1 else keys.reshape(-1, width)
-        result = answer(keys, more, np.repeat(group["block"].to_numpy(), sizes)).astype(kind)
+        keys = _read(b"".join(group["asked"].to_pylist()), kept)
+        types = {1: "u1", 4: "u4", 8: "i8"}
+        parts = [np.frombuffer(x, types[len(x) // size]) for x, size in zip(group["extra"].to_pylist(), sizes, strict=True)]
+        wide = any(x.dtype != np.uint8 for x in parts)
+        result = answer(keys, np.concatenate([x.astype("i8") for x in parts] if wide else parts)).astype(kind)
         ends = np.cumsum(sizes)
         return pa.table(
             {
@@ -112,7 +145,7 @@ def distinct(keys: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return found, np.minimum(np.bincount(inverse[order][new], minlength=len(found)), 255).astype(np.uint8), inverse
 
 
-def total_counts(keys: np.ndarray, counts: np.ndarray, _block: np.ndarray) -> np.ndarray:
+def total_counts(keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """An answer: in how many documents of all blocks each key is, 255 at most."""
     found, inverse = np.unique(keys, return_inverse=True)
     return np.minimum(np.bincount(inverse, counts, len(found)), 255).astype(np.uint8)[inverse]

@@ -14,7 +14,7 @@ steps, each exact:
    TASK_SHINGLES is cut into slots, and each pair of slots is a task, so that no task grows with a cluster.
 
 Steps 1 to 3 are questions over blocks of documents (see ``blocks``); a frequent shingle weighs one entry per block. Shingles
-are 64-bit hashes.
+are 64-bit hashes; for counting, SIEVE bytes of them do: shingles that look alike only seem more frequent to all.
 
 Defined cases: a null or empty text, or one without words, has no shingles and links with nothing; with fewer words than
 WIDTH the whole sequence is the one shingle. Rows that repeat are of one component. A null id links with nothing and has no
@@ -23,6 +23,8 @@ component. An empty table gives an empty result. Other columns of the input are
 
 from __future__ import annotations
 
+import string
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -32,10 +34,13 @@ from pyspark.sql import functions as F
 from tapeline.llm import blocks as b
 from tapeline.llm.components import components
 from tapeline.llm.tables import stored
-from tapeline.llm.texts import Texts
+from tapeline.llm.texts import Texts, mixed
 
 WIDTH = 5
 SHARE = 80
+SIEVE = 6
+#: Bytes of the keys of each question.
+KEPT = {1: (SIEVE,), 2: (8, 8), 3: (SIEVE,)}
 #: Shingles that a task compares, about.
 TASK_SHINGLES = 1_000_000
 
@@ -84,11 +89,11 @@ class _Block:
         return np.flatnonzero(docs[self.owner])
 
     def prefixes(self) -> tuple[np.ndarray, np.ndarray]:
-        """Question 1: shingles of the longer prefixes."""
+        """Question 1: shingles of the longer prefixes, spread over all key ranges: in hash order they are low."""
         rank = np.arange(len(self.values)) - self.bounds[self.owner]
         length = self.n - self.need + _spare(self.n)
         self.front = np.flatnonzero((rank < length[self.owner]) & self.known[self.owner])
-        found, counts, self.front_place = b.distinct(self.values[self.front], self.owner[self.front])
+        found, counts, self.front_place = b.distinct(b.top(mixed(self.values[self.front]), SIEVE), self.owner[self.front])
         return found, counts
 
     def sets(self, replies: pa.Table) -> tuple[np.ndarray, np.ndarray]:
@@ -113,7 +118,7 @@ class _Block:
         chosen = np.zeros(len(self.n), bool)
         chosen[self.first[self.class_of == self.ids[self.first]]] = True
         self.entries = self._of(chosen)
-        found, counts, self.entry_place = b.distinct(self.values[self.entries], self.owner[self.entries])
+        found, counts, self.entry_place = b.distinct(b.top(self.values[self.entries], SIEVE), self.owner[self.entries])
         return found, counts
 
     def nodes(self, replies: pa.Table, key: str) -> pa.Table:
@@ -148,7 +153,7 @@ class _Block:
         )
 
 
-def _least_ids(keys: np.ndarray, ids: np.ndarray, _block: np.ndarray) -> np.ndarray:
+def _least_ids(keys: np.ndarray, ids: np.ndarray) -> np.ndarray:
     order = np.lexsort((ids, keys[:, 1], keys[:, 0]))
     if not len(order):
         return ids
@@ -166,23 +171,23 @@ def prepared(docs: DataFrame, key: str = "doc_id", text: str = "text", width: in
 
     def first(table: pa.Table) -> pa.Table:
         block = _Block(table, width, share)
-        return b.asked(block.number, n, *block.prefixes())
+        return b.asked(block.number, n, *block.prefixes(), KEPT[1])
 
-    def later(method: str):
+    def later(method: str, number: int):
         def ask(table: pa.Table, replies: pa.Table) -> pa.Table:
             block = _Block(table, width, share)
-            return b.asked(block.number, n, *getattr(block, method)(replies))
+            return b.asked(block.number, n, *getattr(block, method)(replies), KEPT[number])
 
         return ask
 
     def finish(table: pa.Table, replies: pa.Table) -> pa.Table:
         return _Block(table, width, share).nodes(replies, key)
 
-    replies = b.answered(by_block.applyInArrow(first, b.ASK), 1, b.total_counts)
-    asked = by_block.cogroup(replies.groupBy("block")).applyInArrow(later("sets"), b.ASK)
-    replies = replies.unionAll(b.answered(asked, 2, _least_ids, width=2, extra="i8", kind="i8"))
-    asked = by_block.cogroup(replies.groupBy("block")).applyInArrow(later("classes"), b.ASK)
-    replies = replies.unionAll(b.answered(asked, 3, b.total_counts))
+    replies = b.answered(by_block.applyInArrow(first, b.ASK), 1, b.total_counts, KEPT[1])
+    asked = by_block.cogroup(replies.groupBy("block")).applyInArrow(later("sets", 2), b.ASK)
+    replies = replies.unionAll(b.answered(asked, 2, _least_ids, KEPT[2], kind="i8"))
+    asked = by_block.cogroup(replies.groupBy("block")).applyInArrow(later("classes", 3), b.ASK)
+    replies = replies.unionAll(b.answered(asked, 3, b.total_counts, KEPT[3]))
     shape = f"`{key}` long, n_shingles long, class_id long, shingles binary, front long, listed array<long>"
     return stored(by_block.cogroup(replies.groupBy("block")).applyInArrow(finish, shape), "shingles")
 
@@ -285,3 +290,32 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     result = ready.select(key, "n_shingles", "class_id").join(found, "class_id", "left")
     kind = docs.schema[key].dataType
     return result.select(F.col(key).cast(kind).alias(key), "n_shingles", F.coalesce("component", "class_id").cast(kind).alias("component_id"))
+
+
+def oracle(width: int = WIDTH, share: int = SHARE) -> str:
+    """The same result over ``documents`` in SQL, all pairs with a common shingle counted; for small tables."""
+    upper, lower = string.ascii_uppercase, string.ascii_lowercase
+    return f"""
+    with recursive split as (
+      select doc_id, regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{lower}'), '[^\\x20\\x09-\\x0D]+') as words
+      from documents
+    ), sets as (
+      select distinct doc_id, unnest(case when len(words) >= {width}
+        then list_transform(range(1, len(words) - {width - 2}), lambda i: array_to_string(words[i:i + {width - 1}], ' '))
+        when len(words) > 0 then [array_to_string(words, ' ')] else [] end) as shingle
+      from split
+    ), sizes as (
+      select doc_id, count(shingle) as n from documents left join sets using (doc_id) group by doc_id
+    ), common as (
+      select a.doc_id as x, b.doc_id as y, count(*) as n
+      from sets a join sets b using (shingle) where a.doc_id <> b.doc_id group by all
+    ), links as (
+      select x, y from common join sizes a on a.doc_id = x join sizes b on b.doc_id = y
+      where 100 * common.n >= {share} * (a.n + b.n - common.n)
+    ), reached as (
+      select doc_id, doc_id as other from documents
+      union select reached.doc_id, y from reached join links on x = other
+    )
+    select doc_id, any_value(n) as n_shingles, min(other) as component_id
+    from reached join sizes using (doc_id) group by doc_id
+    """

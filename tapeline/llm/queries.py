@@ -76,4 +76,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-ORACLE: dict[str, str] = {"op7_url_filter": url_filter.oracle()}
+ORACLE: dict[str, str] = {"op6_near_duplicates": near_duplicates.oracle(), "op7_url_filter": url_filter.oracle()}

@@ -13,7 +13,8 @@ in another document. Three questions over all blocks find the answer (see ``bloc
    of phrases whose trigger has other phrases too remain to be looked into;
 3. which suffixes of those, cut to WIDTH bytes, start in a smaller document.
 
-Equality is that of hashes: 64 bits of the trigger with 64 of the phrase, and 128 bits of a suffix.
+Equality is that of hashes: 64 bits of the trigger with 64 of the phrase, and 96 bits of a suffix. The first question is a
+sieve, for which SIEVE bytes do: triggers that look alike only let more phrases into the second.
 
 Defined cases: a null text is empty; texts shorter than WIDTH bytes stay as they are; a null id removes nothing from others
 and is later than all. Rows of the same id are different texts of one document: neither removes bytes from the other. An
@@ -34,6 +35,9 @@ from tapeline.llm.texts import Texts, hashes, mixed
 
 WIDTH = 50
 CORE = 24
+SIEVE = 6
+#: Bytes of the keys of each question.
+KEPT = {1: (SIEVE,), 2: (8, 8), 3: (8, 4)}
 LAST = np.iinfo(np.int64).max
 
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3], np.uint64)
@@ -49,21 +53,23 @@ class Phrases:
 
     def __init__(self, texts: Texts, width: int = WIDTH):
         data, core = texts.data, min(CORE, width // 2 // 8 * 8 or width)
-        self.texts, self.width = texts, width
+        self.texts, self.width, self.eights = texts, width, _eights(data)
         n = len(data) - width + 1
         if n <= 0:
             self.first = self.last = self.owner = np.zeros(0, np.int64)
             self.trigger = np.zeros(0, np.uint64)
             return
-        self.eights = _eights(data)
         held = np.zeros(len(data) - core + 1, np.uint64)
         if core % 8 == 0:
+            part = np.empty_like(held)
             for k in range(core // 8):
-                held += self.eights[8 * k : 8 * k + len(held)] * _ODD[k]
+                held += np.multiply(self.eights[8 * k : 8 * k + len(held)], _ODD[k], out=part)
+            del part
         else:
             for k in range(core):
                 held = held * _ODD[0] + data[k : k + len(held)]
-        held = (held ^ (held >> np.uint64(31))) * _ODD[3]
+        held ^= held >> np.uint64(31)
+        held *= _ODD[3]
         held ^= held >> np.uint64(32)
         window, size = width - core + 1, 1  # smallest of ``window`` hashes by doubling
         while 2 * size <= window:
@@ -74,10 +80,8 @@ class Phrases:
         valid = np.zeros(n + 1, bool)
         starts, ends = texts.offsets[:-1], texts.offsets[1:] - width + 1
         long = ends > starts
-        change = np.zeros(n + 1, np.int32)
-        np.add.at(change, starts[long], 1)
-        np.add.at(change, ends[long], -1)
-        valid[:n] = np.cumsum(change)[:n] > 0
+        for s, e in zip(starts[long].tolist(), ends[long].tolist(), strict=True):
+            valid[s:e] = True
         new = valid[:n].copy()
         new[1:] &= ~valid[: n - 1] | (held[1:] != held[:-1])
         new[starts[long]] = True
@@ -85,7 +89,7 @@ class Phrases:
         self.owner = np.searchsorted(texts.offsets, self.first, side="right") - 1
         limit = (texts.offsets[1:] - width)[self.owner]
         self.last = np.minimum(np.r_[self.first[1:] - 1, n - 1], limit)
-        self.trigger = held[self.first]
+        self.trigger = mixed(held[self.first])  # smallest hashes are low; key ranges need them spread evenly
 
     def hashes(self, chosen: np.ndarray) -> np.ndarray:
         return hashes(self.texts.data, self.first[chosen], self.last[chosen] + self.width)
@@ -101,7 +105,7 @@ class Phrases:
                 part &= np.uint64((1 << (8 * (self.width - k))) - 1)
             one = mixed(one ^ (part * _ODD[0])) + _ODD[1]
             two = mixed(two + (part ^ _ODD[2])) * _ODD[4]
-        return at, np.stack([one, two], 1)
+        return at, np.stack([one, b.top(two, KEPT[3][1])], 1)
 
 
 def _smallest(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -117,7 +121,7 @@ def _smallest(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray
 REPEATED, OPEN = 1, 2
 
 
-def _phrase_answers(keys: np.ndarray, ids: np.ndarray, _block: np.ndarray) -> np.ndarray:
+def _phrase_answers(keys: np.ndarray, ids: np.ndarray) -> np.ndarray:
     found, least, inverse = _smallest(keys, ids)
     if not len(found):
         return np.zeros(0, np.uint8)
@@ -130,7 +134,7 @@ def _phrase_answers(keys: np.ndarray, ids: np.ndarray, _block: np.ndarray) -> np
     return np.where(least[inverse] < ids, REPEATED, 0) | np.where(open_[inverse], OPEN, 0)
 
 
-def _suffix_answers(keys: np.ndarray, ids: np.ndarray, _block: np.ndarray) -> np.ndarray:
+def _suffix_answers(keys: np.ndarray, ids: np.ndarray) -> np.ndarray:
     _, least, inverse = _smallest(keys, ids)
     return np.where(least[inverse] < ids, REPEATED, 0) if len(keys) else np.zeros(0, np.uint8)
 
@@ -149,7 +153,7 @@ class _Block:
     def triggers(self) -> tuple[np.ndarray, np.ndarray]:
         """Question 1. Documents are counted, so rows of the same id are one."""
         same = np.cumsum(np.r_[True, np.diff(self.ids) != 0]) - 1 if len(self.ids) else self.ids
-        found, counts, self.trigger_place = b.distinct(self.phrases.trigger, same[self.phrases.owner])
+        found, counts, self.trigger_place = b.distinct(b.top(self.phrases.trigger, SIEVE), same[self.phrases.owner])
         return found, counts
 
     def dictionary(self, replies: pa.Table) -> tuple[np.ndarray, np.ndarray]:
@@ -197,12 +201,12 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int =
 
     def first(table: pa.Table) -> pa.Table:
         block = _Block(table, width)
-        return b.asked(block.number, n, *block.triggers())
+        return b.asked(block.number, n, *block.triggers(), KEPT[1])
 
-    def later(method: str):
+    def later(method: str, number: int):
         def ask(table: pa.Table, replies: pa.Table) -> pa.Table:
             block = _Block(table, width)
-            return b.asked(block.number, n, *getattr(block, method)(replies))
+            return b.asked(block.number, n, *getattr(block, method)(replies), KEPT[number])
 
         return ask
 
@@ -225,10 +229,10 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int =
         }
         return pa.table(columns | ({"kept": pa.array(kept, pa.binary())} if with_text else {}))
 
-    replies = b.answered(by_block.applyInArrow(first, b.ASK), 1, b.total_counts)
-    asked = by_block.cogroup(replies.groupBy("block")).applyInArrow(later("dictionary"), b.ASK)
-    replies = replies.unionAll(b.answered(asked, 2, _phrase_answers, width=2, extra="i8"))
-    asked = by_block.cogroup(replies.groupBy("block")).applyInArrow(later("suffixes"), b.ASK)
-    replies = replies.unionAll(b.answered(asked, 3, _suffix_answers, width=2, extra="i8"))
+    replies = b.answered(by_block.applyInArrow(first, b.ASK), 1, b.total_counts, KEPT[1])
+    asked = by_block.cogroup(replies.groupBy("block")).applyInArrow(later("dictionary", 2), b.ASK)
+    replies = replies.unionAll(b.answered(asked, 2, _phrase_answers, KEPT[2]))
+    asked = by_block.cogroup(replies.groupBy("block")).applyInArrow(later("suffixes", 3), b.ASK)
+    replies = replies.unionAll(b.answered(asked, 3, _suffix_answers, KEPT[3]))
     done = by_block.cogroup(replies.groupBy("block")).applyInArrow(finish, f"`{key}` long, {RESULT}" + ", kept binary" * with_text)
     return done.withColumn(key, F.col(key).cast(docs.schema[key].dataType))
