@@ -33,7 +33,9 @@ def dealt(docs: DataFrame, key: str = "doc_id", text: str = "text", block_bytes:
     spark = docs.sparkSession
     total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     least = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    n, ranges = max(-(-total // block_bytes), least), max(-(-total // RANGE_BYTES), least)
+    # small tables are spread over the cluster too, but not thinner than a MB a block and a block's text a range
+    n = max(1, -(-total // block_bytes), min(least, -(-total // (1 << 20))))
+    ranges = max(1, -(-total // RANGE_BYTES), min(least, -(-total // BLOCK_BYTES)))
     read = docs.select(
         F.pmod(F.xxhash64(key, F.octet_length(text)), F.lit(n)).cast("int").alias("block"), F.col(key).cast("long").alias("id"), F.col(text).alias("text")
     )
