@@ -3,7 +3,7 @@
 A text is read as its words, lower-cased and joined by single spaces, so that punctuation and line breaks do not matter.
 Three phrases are looked for in every text (the base). The signatures are regular expressions over the words: each license's
 names in each of the frames in which licenses are given, the most telling frame first. A signature is only tried on texts
-that hold a word common to all licenses and the signature's own keyword. A detection inside another one of the same text is
+that hold a word common to all licenses and the signature's own keyword, which stands in every text that it matches. A detection inside another one of the same text is
 dropped, and of two over the same words the one of the earlier signature stays.
 
 All work is in built-in expressions: array functions, a generator and a window over the detections of one text.
@@ -28,42 +28,57 @@ BASE = (
     ("cc by nc", "cc-by-nc"),
 )
 
-#: (label, keyword, names as a regular expression over words).
+#: (label, keyword, names as a regular expression over words). All names of a row hold its keyword as whole words.
 LICENSES = (
     ("mit", "mit", "mit(?: x11)?"),
     ("apache-2", "apache", "apache(?: software)?(?: license)?(?: version)?(?: 2(?: 0)?)"),
     ("apache-1.1", "apache", "apache(?: software)?(?: license)?(?: version)? 1 1"),
     ("agpl-3", "affero", "(?:gnu )?affero general public license(?: version)?(?: 3(?: 0)?)?"),
     ("agpl-3", "agpl", "(?:gnu )?agpl(?: version)?(?: v?3(?: 0)?)?"),
+    ("agpl-3", "agplv3", "(?:gnu )?agplv3(?: 0)?"),
+    ("agpl-3", "agpl3", "(?:gnu )?agpl3(?: 0)?"),
     ("lgpl-3", "lesser", "(?:gnu )?lesser general public license(?: version)?(?: 3(?: 0)?)"),
     ("lgpl-2.1", "lesser", "(?:gnu )?lesser general public license(?: version)?(?: 2 1)?"),
     ("lgpl-3", "lgpl", "(?:gnu )?lgpl(?: version)?(?: v?3(?: 0)?)"),
     ("lgpl-2.1", "lgpl", "(?:gnu )?lgpl(?: version)?(?: v?2 1)?"),
+    ("lgpl-3", "lgplv3", "(?:gnu )?lgplv3(?: 0)?"),
+    ("lgpl-3", "lgpl3", "(?:gnu )?lgpl3(?: 0)?"),
+    ("lgpl-2.1", "lgplv2", "(?:gnu )?lgplv2(?: 1)?"),
+    ("lgpl-2.1", "lgpl2", "(?:gnu )?lgpl2(?: 1)?"),
     ("gpl-3", "general", "(?:gnu )?general public license(?: version)?(?: v?3(?: 0)?)"),
     ("gpl-2", "general", "(?:gnu )?general public license(?: version)?(?: v?2(?: 0)?)?"),
-    ("gpl-3", "gpl", "(?:gnu )?gpl(?: version)? ?v?3(?: 0)?"),
-    ("gpl-2", "gpl", "(?:gnu )?gpl(?: version)?(?: ?v?2(?: 0)?)?"),
-    ("gpl-3", "gplv3", "(?:gnu )?gplv3"),
-    ("gpl-2", "gplv2", "(?:gnu )?gplv2"),
-    ("bsd-2-clause", "bsd", "(?:simplified bsd|bsd 2 clause|2 clause bsd|freebsd)"),
+    ("gpl-3", "gpl", "(?:gnu )?gpl(?: version ?| )v?3(?: 0)?"),
+    ("gpl-2", "gpl", "(?:gnu )?gpl(?:(?: version ?| )v?2(?: 0)?| version)?"),
+    ("gpl-3", "gplv3", "(?:gnu )?gplv3(?: 0)?"),
+    ("gpl-3", "gpl3", "(?:gnu )?gpl3(?: 0)?"),
+    ("gpl-2", "gplv2", "(?:gnu )?gplv2(?: 0)?"),
+    ("gpl-2", "gpl2", "(?:gnu )?gpl2(?: 0)?"),
+    ("bsd-2-clause", "bsd", "(?:simplified bsd|bsd 2 clause|2 clause bsd)"),
+    ("bsd-2-clause", "freebsd", "freebsd"),
     ("bsd-3-clause", "bsd", "(?:new bsd|revised bsd|modified bsd|bsd 3 clause|3 clause bsd)"),
     ("bsd-4-clause", "bsd", "(?:original bsd|bsd 4 clause|4 clause bsd)"),
     ("bsd", "bsd", "bsd(?: style)?"),
-    ("0bsd", "0bsd", "(?:zero clause bsd|0bsd)"),
+    ("0bsd", "0bsd", "0bsd"),
+    ("0bsd", "zero clause", "zero clause bsd"),
     ("mpl-2", "mozilla", "mozilla public license(?: version)?(?: v? ?2(?: 0)?)"),
     ("mpl-1.1", "mozilla", "mozilla public license(?: version)? 1 1"),
-    ("mpl-2", "mpl", "mpl(?: version)? ?v?2(?: 0)?"),
+    ("mpl-2", "mpl", "mpl(?: version ?| )v?2(?: 0)?"),
+    ("mpl-2", "mplv2", "mplv2(?: 0)?"),
+    ("mpl-2", "mpl2", "mpl2(?: 0)?"),
     ("epl-2", "eclipse", "eclipse public license(?: version)?(?: v? ?2(?: 0)?)?"),
     ("epl-1", "eclipse", "eclipse public license(?: version)?(?: v? ?1(?: 0)?)"),
-    ("cddl-1", "cddl", "(?:common development and distribution license|cddl)(?: version)?(?: 1(?: [01])?)?"),
+    ("cddl-1", "cddl", "cddl(?: version)?(?: 1(?: [01])?)?"),
+    ("cddl-1", "distribution license", "common development and distribution license(?: version)?(?: 1(?: [01])?)?"),
     ("isc", "isc", "isc"),
     ("zlib", "zlib", "zlib(?: libpng)?"),
     ("unlicense", "unlicense", "unlicense"),
     ("artistic-2", "artistic", "artistic(?: license)?(?: version)?(?: 2(?: 0)?)?"),
     ("boost-1", "boost", "boost software license(?: version)?(?: 1 0)?"),
-    ("eupl-1.2", "eupl", "(?:european union public licence|eupl)(?: version)?(?: v? ?1 2)?"),
+    ("eupl-1.2", "eupl", "eupl(?: version)?(?: v? ?1 2)?"),
+    ("eupl-1.2", "union public", "european union public licence(?: version)?(?: v? ?1 2)?"),
     ("wtfpl", "wtfpl", "wtfpl"),
-    ("ofl-1.1", "ofl", "(?:sil )?(?:open font license|ofl)(?: version)?(?: 1 1)?"),
+    ("ofl-1.1", "ofl", "(?:sil )?ofl(?: version)?(?: 1 1)?"),
+    ("ofl-1.1", "font license", "(?:sil )?open font license(?: version)?(?: 1 1)?"),
     ("cc0", "cc0", "(?:creative commons )?cc0(?: 1 0)?"),
     ("cc-by", "cc", "cc by(?: [1-4] 0)?"),
     ("cc-by-sa", "cc", "cc by sa(?: [1-4] 0)?"),
@@ -145,7 +160,7 @@ def detections(docs: DataFrame, key: str = "doc_id", text: str = "text", rules=N
     """Detections that stay: ``key``, hashed, label, priority, first_word, n_words; one row each."""
     rules = signatures() if rules is None else rules
     table = F.array(*(F.struct(F.lit(p).alias("priority"), F.lit(label).alias("label"), F.lit(f" {k} ").alias("keyword"), F.lit(x).alias("pattern")) for p, label, k, x in rules))
-    keywords = "|".join(sorted({k for _, _, k, _ in rules}))
+    keywords = "|".join(sorted({k.replace(" ", GAP) for _, _, k, _ in rules}))
     lowered = F.lower(text)
     gated = docs.where(lowered.rlike(keywords) & (lowered.rlike(GATE) | lowered.contains("all rights reserved")))
     words = gated.select(key, F.xxhash64(text).alias("hashed"), as_words(text).alias("words")).distinct()

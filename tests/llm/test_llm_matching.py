@@ -109,6 +109,85 @@ def test_contained_detections_go(spark):
     assert {tuple(r) for r in licenses.detections(docs).select("label", "first_word", "n_words").collect()} == {("gpl-3", 0, 7)}
 
 
+def spelled(pattern):
+    """All strings that a signature's expression matches, as far as its classes and options go; the trailing lookahead left out."""
+    from re import _constants as c, _parser
+
+    def of(items):
+        texts = [""]
+        for kind, x in items:
+            if kind is c.LITERAL:
+                more = [chr(x)]
+            elif kind is c.IN:
+                more = [chr(k) for t, v in x for k in ([v] if t is c.LITERAL else range(v[0], v[1] + 1))]
+            elif kind is c.BRANCH:
+                more = [t for branch in x[1] for t in of(branch)]
+            elif kind is c.SUBPATTERN:
+                more = of(x[3])
+            elif kind is c.MAX_REPEAT:
+                assert x[:2] == (0, 1)
+                more = ["", *of(x[2])]
+            else:
+                assert kind is c.ASSERT
+                more = [""]
+            texts = [t + m for t in texts for m in more]
+        return texts
+
+    return of(_parser.parse(pattern))
+
+
+def plain_labels(words, rules):
+    """Labels by trying every signature, without gates."""
+    found = []
+    for priority, label, _, pattern in rules:
+        for m in re.finditer(pattern, words):
+            start = words.count(" ", 0, m.start())
+            found.append((start, -m.group().count(" "), priority, label))
+    kept, reach = set(), 0
+    for start, n, _, label in sorted(found):
+        if start - n > reach:
+            kept.add(label)
+            reach = start - n
+    return kept
+
+
+def test_gates_hold_for_every_alternative(spark):
+    rules = licenses.signatures()
+    for _, _, keyword, pattern in rules[: len(licenses.LICENSES) - 1] + rules[-1:]:
+        assert all(f" {keyword} " in t + " " for t in spelled(pattern))
+    frames = [f.replace("NAME", "%s") for f in licenses.FRAMES]
+    shown = [(label, spelled(frame)[-1] % name) for label, _, names in licenses.LICENSES if label != "proprietary" for name in spelled(names) for frame in frames]
+    docs = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(shown)], "doc_id long, text string")
+    found = {r.doc_id: set(r.labels.split(",")) - {""} for r in licenses.scan(docs).collect()}
+    at = {label: i for i, label in enumerate(x[0] for x in licenses.LICENSES)}
+    for i, (label, text) in enumerate(shown):
+        assert label in found[i] or min(at[x] for x in found[i]) < at[label], text
+        if i % 7 == 0:
+            base = set(filter(None, plain_base(text)[4].split(",")))
+            assert found[i] == base | plain_labels(f" {text} ", rules), text
+
+
+NAMED = [
+    ("Licensed under the SIL Open Font License", "ofl-1.1"),
+    ("FreeBSD License", "bsd-2-clause"),
+    ("released under the Zero-Clause BSD license", "0bsd"),
+    ("the Common Development\nand Distribution License, licensed under the Common Development and Distribution\nLicense 1.0", "cddl-1"),
+    ("Licensed under the European Union Public Licence v1.2", "eupl-1.2"),
+    ("licensed under MPLv2", "mpl-2"),
+    ("licensed under GPL2", "gpl-2"),
+    ("available under the GPL3 license", "gpl-3"),
+    ("License: LGPLv3", "lgpl-3"),
+    ("SPDX-License-Identifier: AGPLv3", "agpl-3"),
+    ("licensed under LGPLv2.1", "lgpl-2.1"),
+]
+
+
+def test_names_without_the_short_word(spark):
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(NAMED)], "doc_id long, text string")
+    found = {r.doc_id: r.labels for r in licenses.scan(docs).collect()}
+    assert [found[i] for i in range(len(NAMED))] == [label for _, label in NAMED]
+
+
 def test_license_query(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text")
     found = op9_license_scan(spark, FOLDER)
