@@ -102,8 +102,8 @@ FRAMES = (
     "licen[cs]e(?:d)? (?:is |as )?(?:the )?NAME",
     "(?:the )?NAME licen[cs]e",
 )
-#: A text without any of these holds no signature.
-GATE = "licen[cs]e|spdx|(?:released|distributed|available|provided|published|subject to|covered by|governed by)"
+#: A text without any of these, with whatever stands between their words, holds no signature.
+GATE = "licen[cs]e|spdx|(?:released|distributed|available|provided|published|subject to|covered by|governed by)|all rights reserved"
 
 
 def signatures(licenses=LICENSES, frames=FRAMES) -> list[tuple[int, str, str, str]]:
@@ -160,9 +160,9 @@ def detections(docs: DataFrame, key: str = "doc_id", text: str = "text", rules=N
     """Detections that stay: ``key``, hashed, label, priority, first_word, n_words; one row each."""
     rules = signatures() if rules is None else rules
     table = F.array(*(F.struct(F.lit(p).alias("priority"), F.lit(label).alias("label"), F.lit(f" {k} ").alias("keyword"), F.lit(x).alias("pattern")) for p, label, k, x in rules))
-    keywords = "|".join(sorted({k.replace(" ", GAP) for _, _, k, _ in rules}))
+    keywords = "|".join(sorted({k for _, _, k, _ in rules}))
     lowered = F.lower(text)
-    gated = docs.where(lowered.rlike(keywords) & (lowered.rlike(GATE) | lowered.contains("all rights reserved")))
+    gated = docs.where(lowered.rlike(keywords.replace(" ", GAP)) & lowered.rlike(GATE.replace(" ", GAP)))
     words = gated.select(key, F.xxhash64(text).alias("hashed"), as_words(text).alias("words")).distinct()
     tried = words.select(key, "hashed", "words", F.explode(F.filter(table, lambda r: F.col("words").contains(r["keyword"]))).alias("rule"))
     matched = tried.select(

@@ -188,6 +188,22 @@ def test_names_without_the_short_word(spark):
     assert [found[i] for i in range(len(NAMED))] == [label for _, label in NAMED]
 
 
+WRAPPED = [
+    ("All Rights\nReserved", "proprietary"),
+    ("All  rights -- reserved.", "proprietary"),
+    ("subject\nto the Apache 2.0", "apache-2"),
+    ("covered  by the MIT", "mit"),
+    ("governed\r\nby the ISC", "isc"),
+    ("released\nunder\nthe\nSIL Open Font\nLicense", "ofl-1.1"),
+]
+
+
+def test_gate_reads_over_line_breaks(spark):
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(WRAPPED)], "doc_id long, text string")
+    found = {r.doc_id: r.labels for r in licenses.scan(docs).collect()}
+    assert [found[i] for i in range(len(WRAPPED))] == [label for _, label in WRAPPED]
+
+
 def test_license_query(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text")
     found = op9_license_scan(spark, FOLDER)
