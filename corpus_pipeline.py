@@ -52,7 +52,7 @@ STAGES = [
     ("best_fit_packing", packing_stage),
 ]
 
-#: Compression, a trained network and a tokenizer cannot be written in SQL; tests/llm holds the rows against plain code.
+#: Compression, a trained network and a tokenizer cannot be written in SQL; tests/llm holds the operators, not the chain, against plain code.
 ORACLE_SQL = None
 
 

@@ -54,6 +54,15 @@ def test_substring_dedup_of_random_pieces(spark, seed):
         assert dedup(spark, rows, width, block_bytes=200) == plain_dedup(rows, width)
 
 
+def test_substring_query_against_plain_code(spark):
+    from tapeline.llm.queries import op4_substring_dedup
+
+    folder = "/root/testdata/sf0.001"
+    rows = [tuple(r) for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").orderBy("doc_id").collect()]
+    found = op4_substring_dedup(spark, folder).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect()
+    assert sorted(map(tuple, found), key=str) == plain_dedup(rows, 50)
+
+
 def test_kept_bytes_and_empty_table(spark):
     docs = odd.documents(spark)
     kept = substring_dedup.dedup(docs, with_text=True).collect()
