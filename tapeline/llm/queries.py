@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapeline.llm import decontamination, language, licenses, near_duplicates, packing, quality_model, quality_rules, secrets, substring_dedup, url_filter
+from tapeline.llm import decontamination, language, licenses, near_duplicates, packing, periodic_runs, quality_model, quality_rules, secrets, substring_dedup, url_filter
 from tapeline.llm.tables import rest, stored, table
 
 
@@ -60,6 +60,10 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontamination.matched(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return periodic_runs.collapsed(table(spark, folder, "documents")).drop("collapsed")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     x.__name__: x
     for x in (
@@ -73,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_best_fit_packing,
         op9_license_scan,
         op10_decontamination,
+        op12_periodic_runs,
     )
 }
 
