@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapeline.llm import decontamination, language, licenses, near_duplicates, packing, periodic_runs, quality_model, quality_rules, secrets, substring_dedup, url_filter
+from tapeline.llm import alignment, decontamination, language, licenses, near_duplicates, packing, periodic_runs, quality_model, quality_rules, secrets, substring_dedup, url_filter
 from tapeline.llm.tables import rest, stored, table
 
 
@@ -64,6 +64,10 @@ def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     return periodic_runs.collapsed(table(spark, folder, "documents")).drop("collapsed")
 
 
+def op13_tokenizer_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.align(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     x.__name__: x
     for x in (
@@ -78,6 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_license_scan,
         op10_decontamination,
         op12_periodic_runs,
+        op13_tokenizer_alignment,
     )
 }
 
