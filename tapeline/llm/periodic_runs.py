@@ -10,9 +10,9 @@ because it is four periods long and boundaries are at most one apart. Of stitche
 period is the run: a multiple of a run's period spans the same words.
 
 Tiles are only solved where the first words after the boundary repeat at the period, which one array comparison per octave tells
-for all documents of a batch. Fragments of a document are joined in the task before they are sent. Documents above LONG_BYTES
-are exploded into rows of tiles that are dealt over the cluster, so that a very long text is not one task's work. Words are
-compared by 64-bit hashes.
+for all documents of a batch. Fragments of a document are joined in the task before they are sent, and those too short for a run
+stay where the task saw the whole document. Documents above LONG_BYTES are exploded into rows of tiles that are dealt over the
+cluster, so that a very long text is not one task's work. Words are compared by 64-bit hashes.
 
 Defined cases: null and empty texts and texts without words have no words and no runs. A null id is not altered by ``planted``.
 Rows that repeat are each answered, and so are rows of one id with different texts. An empty table gives an empty result. Other
@@ -159,33 +159,51 @@ def _altered(batch: pa.RecordBatch, planting: Planting | None) -> tuple[np.ndarr
     return held, words.bounds
 
 
-def _rows(key: str, keys: pa.Array, marks: pa.Array, found: np.ndarray) -> pa.RecordBatch:
-    owner = pa.array(found[:, 0])
-    return pa.RecordBatch.from_arrays([keys.take(owner), marks.take(owner), *(pa.array(found[:, k]) for k in (1, 2, 3))], names=[key, "mark", "period", "start", "end"])
+def _found(words: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Runs of whole documents, rows of (document, period, start, end), by document; multiples of periods are among them."""
+    n = np.diff(bounds)
+    found = [np.zeros((0, 4), np.int64)]
+    for octave in octaves(int(n.max(initial=0))):
+        which = np.flatnonzero(n >= max(LEAST, EXPONENT * octave))
+        none = np.zeros(len(which), np.int64)
+        rows = solved(words, octave, bounds[which], none, none, n[which], n[which])
+        rows[:, 0] = which[rows[:, 0]]
+        found.append(rows)
+    rows = joined(np.concatenate(found))
+    return rows[rows[:, 3] - rows[:, 2] >= np.maximum(LEAST, EXPONENT * rows[:, 1])]
 
 
-def fragments(docs: DataFrame, key: str = "doc_id", text: str = "text", planting: Planting | None = planted, long_bytes: int = LONG_BYTES, row_words: int = ROW_WORDS) -> DataFrame:
-    """Rows (``key``, mark, period, start, end) of all documents; ``mark`` tells texts of one id apart."""
+def searched(docs: DataFrame, key: str = "doc_id", text: str = "text", planting: Planting | None = planted, long_bytes: int = LONG_BYTES, texts: bool = True) -> DataFrame:
+    """Per row: ``key``, mark (tells texts of one id apart), found (fragments of a text that is not long), sha256 of the words where
+    there are none, and the text where there are some, where it is long, or always (``texts``)."""
     kind = docs.schema[key].dataType.simpleString()
-    shape = f"`{key}` {kind}, mark long, period long, start long, end long"
-    read = docs.select(F.col(key).alias(key), F.xxhash64(text).alias("mark"), F.col(text).alias("text")).where("text is not null")
-    is_long = F.octet_length("text") > long_bytes
+    read = docs.select(F.col(key).alias(key), F.xxhash64(text).alias("mark"), F.col(text).alias("text"))
+    shape = pa.list_(pa.struct([("period", pa.int64()), ("start", pa.int64()), ("end", pa.int64())]))
 
-    def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slabs(batches):
-            words, bounds = _altered(batch, planting)
-            n = np.diff(bounds)
-            found = []
-            for octave in octaves(int(n.max(initial=0))):
-                which = np.flatnonzero(n >= max(LEAST, EXPONENT * octave))
-                none = np.zeros(len(which), np.int64)
-                rows = solved(words, octave, bounds[which], none, none, n[which], n[which])
-                rows[:, 0] = which[rows[:, 0]]
-                found.append(rows)
-            if found:
-                yield _rows(key, batch.column(0), batch.column(1), joined(np.concatenate(found)))
-
-    tiles = f"`{key}` {kind}, mark long, n long, octave long, first long, low long, high long, words binary"
+            bodies = [x.as_py() or "" for x in batch.column(2)]
+            sizes = [len(x.encode("utf-8", "surrogatepass")) for x in bodies]
+            is_long = np.array(sizes) > long_bytes
+            whole = batch.set_column(2, "text", pa.array(["" if x else y for x, y in zip(is_long, bodies, strict=True)], pa.string()))
+            rows = _found(*_altered(whole, planting))
+            cuts = np.searchsorted(rows[:, 0], np.arange(batch.num_rows + 1)).tolist()
+            found = [[{"period": q, "start": s, "end": e} for _, q, s, e in rows[cuts[i] : cuts[i + 1]].tolist()] for i in range(batch.num_rows)]
+            open_ = [bool(x or y) for x, y in zip(is_long, found, strict=True)]
+            sha = [None if x else hashlib.sha256(b" ".join(_words(k, t, planting))).hexdigest() for x, k, t in zip(open_, batch.column(0).to_pylist(), bodies, strict=True)]
+            kept = [t if x or texts else None for x, t in zip(open_, bodies, strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(found, shape), pa.array(sha, pa.string()), pa.array(kept, pa.string())],
+                names=[key, "mark", "found", "sha256", "text"],
+            )
+
+    return read.mapInArrow(search, f"`{key}` {kind}, mark long, found array<struct<period: long, start: long, end: long>>, sha256 string, text string")
+
+
+def fragments_of_long(docs: DataFrame, key: str = "doc_id", text: str = "text", planting: Planting | None = planted, long_bytes: int = LONG_BYTES, row_words: int = ROW_WORDS) -> DataFrame:
+    """Rows (``key``, mark, period, start, end) of the long documents, whose tiles are dealt over the cluster."""
+    kind = docs.schema[key].dataType.simpleString()
+    read = docs.where(F.octet_length(text) > long_bytes).select(F.col(key).alias(key), F.xxhash64(text).alias("mark"), F.col(text).alias("text"))
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slabs(batches):
@@ -204,17 +222,21 @@ def fragments(docs: DataFrame, key: str = "doc_id", text: str = "text", planting
                             names=[key, "mark", "n", "octave", "first", "low", "high", "words"],
                         )
 
-    def solve_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, octave, first, low, high = (batch.column(k).to_numpy() for k in range(2, 7))
             for i in range(batch.num_rows):
                 words = np.frombuffer(batch.column(7)[i].as_py(), np.uint64)
                 one = slice(i, i + 1)
                 rows = joined(solved(words, int(octave[i]), np.zeros(1, np.int64), first[one], low[one], high[one], n[one]))
-                yield _rows(key, batch.column(0)[one], batch.column(1)[one], rows)
+                owner = pa.array(rows[:, 0])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0)[one].take(owner), batch.column(1)[one].take(owner), *(pa.array(rows[:, k]) for k in (1, 2, 3))],
+                    names=[key, "mark", "period", "start", "end"],
+                )
 
-    of_long = read.where(is_long).mapInArrow(explode, tiles).repartition(key, "mark", "octave", "low").mapInArrow(solve_rows, shape)
-    return read.where(~is_long).mapInArrow(solve, shape).unionAll(of_long)
+    tiles = read.mapInArrow(explode, f"`{key}` {kind}, mark long, n long, octave long, first long, low long, high long, words binary")
+    return tiles.repartition(key, "mark", "octave", "low").mapInArrow(solve, f"`{key}` {kind}, mark long, period long, start long, end long")
 
 
 def stitched(found: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -228,48 +250,52 @@ def stitched(found: DataFrame, key: str = "doc_id") -> DataFrame:
     return long_enough.groupBy(key, "mark", "start", "length").agg(F.min("period").alias("period"))
 
 
-def runs(docs: DataFrame, key: str = "doc_id", text: str = "text", planting: Planting | None = None, long_bytes: int = LONG_BYTES, row_words: int = ROW_WORDS) -> DataFrame:
-    """All runs of ``docs``: ``key``, mark, start, length, period."""
-    return stitched(fragments(docs, key, text, planting, long_bytes, row_words), key)
-
-
-def collapsed(docs: DataFrame, key: str = "doc_id", text: str = "text", planting: Planting | None = planted, long_bytes: int = LONG_BYTES, row_words: int = ROW_WORDS) -> DataFrame:
+def collapsed(docs: DataFrame, key: str = "doc_id", text: str = "text", planting: Planting | None = planted, long_bytes: int = LONG_BYTES, row_words: int = ROW_WORDS, texts: bool = True) -> DataFrame:
     """Per row: ``key``, n_runs, start, length, period and exponent_milli of the longest run, digests of all runs and of the words
-    that stay when of every run only the first period is kept, and these words as ``collapsed``."""
-    each = runs(docs, key, text, planting, long_bytes, row_words)
-    listed = each.groupBy(key, "mark").agg(F.array_sort(F.collect_list(F.struct("start", "period", "length"))).alias("runs"))  # fewer than words in the text
-    listed = stored(listed.withColumnsRenamed({key: "_key", "mark": "_mark"}), "runs")
-    read = docs.select(F.col(key).alias(key), F.xxhash64(text).alias("mark"), F.col(text).alias("text"))
-    both = read.join(listed, F.col(key).eqNullSafe(F.col("_key")) & (F.col("mark") == F.col("_mark")), "left").select(key, "text", "runs")
-    names = ["n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256", "collapsed"]
+    that stay when of every run only the first period is kept, and (``texts``) runs and these words as ``collapsed``.
+
+    Only texts with runs are shuffled.
+    """
+    ready = stored(searched(docs, key, text, planting, long_bytes, texts), "searched")
+    of_short = ready.select(key, "mark", F.inline("found"))
+    each = stitched(of_short.unionAll(fragments_of_long(docs, key, text, planting, long_bytes, row_words)), key)
+    listed = each.groupBy(F.col(key).alias("_key"), F.col("mark").alias("_mark")).agg(F.array_sort(F.collect_list(F.struct("start", "period", "length"))).alias("runs"))  # fewer than words in the text
+    with_runs = ready.where("sha256 is null").hint("merge").join(listed, F.col(key).eqNullSafe(F.col("_key")) & (F.col("mark") == F.col("_mark")), "left")
+    none = F.lit(None).cast("array<struct<start: bigint, period: bigint, length: bigint>>").alias("runs")
+    both = with_runs.select(key, "text", "runs", "sha256").unionAll(ready.where("sha256 is not null").select(key, "text", none, "sha256"))
+    names = [key, "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256"]
     kinds = [pa.int64()] * 5 + [pa.string()] * 3
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slabs(batches):
             rows = []
-            for k, value, found in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
-                rows.append(_answer(k, (value.as_py() or "").encode("utf-8", "surrogatepass"), found.as_py() or [], planting))
+            for k, value, found, sha in zip(*(batch.column(i) for i in range(4)), strict=True):
+                rows.append(_answer(k.as_py(), value.as_py(), found.as_py() or [], sha.as_py(), planting))
             columns = [pa.array([x[i] for x in rows], kind) for i, kind in enumerate(kinds)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=[key, *names])
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns, batch.column(2)], names=[*names, "collapsed", "runs"])
 
     kind = docs.schema[key].dataType.simpleString()
-    return both.mapInArrow(answer, f"`{key}` {kind}, n_runs long, start long, length long, period long, exponent_milli long, runs_sha256 string, collapsed_sha256 string, collapsed string")
+    shape = f"`{key}` {kind}, n_runs long, start long, length long, period long, exponent_milli long, runs_sha256 string, collapsed_sha256 string, collapsed string"
+    answered = both.mapInArrow(answer, f"{shape}, runs array<struct<start: long, period: long, length: long>>")
+    return answered if texts else answered.select(*names)
 
 
-def _answer(key: object, text: bytes, found: list[dict], planting: Planting | None) -> tuple:
-    words = text.split()  # bytes part at space and tab to carriage return
+def _words(key: object, text: str, planting: Planting | None) -> list[bytes]:
+    words = text.encode("utf-8", "surrogatepass").split()  # bytes part at space and tab to carriage return
     places = planting(key, len(words)) if planting is not None else None
-    if places is not None:
-        words = [words[i] for i in places.tolist()]
-    kept = words
-    best = (None,) * 4
-    if found:
+    return words if places is None else [words[i] for i in places.tolist()]
+
+
+def _answer(key: object, text: str | None, found: list[dict], sha: str | None, planting: Planting | None) -> tuple:
+    best, left = (None,) * 4, None
+    if text is not None:
+        words = _words(key, text, planting)
         stay = np.ones(len(words), bool)
         for run in found:
             stay[run["start"] + run["period"] : run["start"] + run["length"]] = False
-        kept = [words[i] for i in np.flatnonzero(stay).tolist()]
+        left = b" ".join([words[i] for i in np.flatnonzero(stay).tolist()])
+    if found:
         top = min(found, key=lambda x: (-x["length"], x["start"], x["period"]))
         best = (top["start"], top["length"], top["period"], 1000 * top["length"] // top["period"])
     said = "".join(f"{x['start']},{x['length']},{x['period']}\n" for x in found)
-    left = b" ".join(kept)
-    return (len(found), *best, hashlib.sha256(said.encode()).hexdigest(), hashlib.sha256(left).hexdigest(), left.decode("utf-8", "surrogatepass"))
+    return (len(found), *best, hashlib.sha256(said.encode()).hexdigest(), sha or hashlib.sha256(left).hexdigest(), left.decode("utf-8", "surrogatepass") if left is not None else None)

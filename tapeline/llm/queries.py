@@ -61,7 +61,7 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
-    return periodic_runs.collapsed(table(spark, folder, "documents")).drop("collapsed")
+    return periodic_runs.collapsed(table(spark, folder, "documents"), texts=False)
 
 
 def op13_tokenizer_alignment(spark: SparkSession, folder: str) -> DataFrame:
