@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapeline.llm import alignment, decontamination, language, licenses, near_duplicates, packing, periodic_runs, quality_model, quality_rules, secrets, substring_dedup, url_filter
+from tapeline.llm import alignment, decontamination, embedding_links, language, licenses, near_duplicates, packing, periodic_runs, quality_model, quality_rules, secrets, substring_dedup, url_filter
 from tapeline.llm.tables import rest, stored, table
 
 
@@ -60,6 +60,10 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontamination.matched(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op11_embedding_links(spark: SparkSession, folder: str) -> DataFrame:
+    return embedding_links.near_duplicates(table(spark, folder, "embeddings"))
+
+
 def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     return periodic_runs.collapsed(table(spark, folder, "documents"), texts=False)
 
@@ -81,9 +85,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_best_fit_packing,
         op9_license_scan,
         op10_decontamination,
+        op11_embedding_links,
         op12_periodic_runs,
         op13_tokenizer_alignment,
     )
 }
 
-ORACLE: dict[str, str] = {"op6_near_duplicates": near_duplicates.oracle(), "op7_url_filter": url_filter.oracle()}
+ORACLE: dict[str, str] = {"op6_near_duplicates": near_duplicates.oracle(), "op7_url_filter": url_filter.oracle(), "op11_embedding_links": embedding_links.oracle()}
