@@ -3,7 +3,8 @@
 Each stage is a function of the session, the documents its predecessor kept and the folder of the tables. All but the last
 return the columns of documents. ``run`` writes each stage's rows as Parquet below the shared folder and hands them on.
 
-Rows of one doc_id count as one document. Documents without a doc_id are kept by the second stage, which cannot name them.
+Rows of equal doc_id and text count as one document, of which the smallest row in the order of its columns stays; different texts
+of one doc_id are different documents. Documents without a doc_id are kept by the second stage, which cannot name them.
 """
 
 from __future__ import annotations
@@ -21,11 +22,24 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates, the document of smallest id."""
-    found = near_duplicates.near_duplicates(docs)
-    kept = found.where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.unionAll(docs.where("doc_id is null")).select(*docs.columns)
+    """Of each group of near duplicates, the document of smallest id, of equal ids the one whose text has the smallest hash."""
+    mark = F.xxhash64("doc_id", "text")
+    repeated = stored(docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
+    named = docs.where("doc_id is not null").select(F.struct(*docs.columns).alias("row"), F.col("doc_id").alias("key"))
+    if not repeated.isEmpty():
+        # different texts of one id are different documents: each gets a number of its own
+        again = docs.join(repeated, "doc_id", "left_semi").select(F.struct(*docs.columns).alias("row"), (-1 - F.shiftrightunsigned(mark, 1)).alias("key"))
+        once = docs.where("doc_id is not null").join(repeated, "doc_id", "left_anti")
+        named = once.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").alias("key")).unionAll(again.groupBy("key").agg(F.min("row").alias("row")).select("row", "key"))
+        named = stored(named, "named")
+    found = near_duplicates.near_duplicates(named.select("key", F.col("row.text").alias("text")), "key")
+    if repeated.isEmpty():
+        first = found.where("key = component_id").select("key")
+    else:
+        ids = found.join(named.select("key", F.col("row.doc_id").alias("id")), "key")
+        first = ids.groupBy("component_id").agg(F.min(F.struct("id", "key")).alias("first")).select("first.key")
+    kept = named.join(first, "key", "left_semi").select("row.*")
+    return kept.unionAll(docs.where("doc_id is null").select(*docs.columns))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
