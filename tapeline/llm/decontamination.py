@@ -24,12 +24,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tapeline.llm.texts import Texts, Words, slabs
+from tapeline.llm.texts import Texts, Words, mixed, slabs
 
 MIN_MATCH = 5
 THRESHOLD = 0.5
 #: Text of items that is sent to the executors at a time.
 BLOCK_BYTES = 16 << 20
+#: Seeds that are worked on at once; a document and an item with more of them, which repeat words, are compared without listing them.
+SEEDS = 1 << 20
 #: Bits of the table that is asked before the sorted hashes of the items.
 TABLE_BITS = 22
 
@@ -75,12 +77,75 @@ def tiles(n: int, at_item: np.ndarray, at_doc: np.ndarray, width: int = MIN_MATC
     return made
 
 
+def tiles_of_repeats(item: np.ndarray, doc: np.ndarray, width: int = MIN_MATCH) -> list[tuple[int, int, int]]:
+    """The same tiling from the words themselves, in memory that grows with the texts and not with the places where they agree.
+
+    The length of the longest unmarked match is found by halving, since a match holds matches of all smaller lengths; its
+    places come from hashes of all unmarked windows of that length.
+    """
+    _, words = np.unique(np.r_[item, doc], return_inverse=True)
+    item, doc = words[: len(item)], words[len(item) :]
+    marked = np.zeros(len(item), bool), np.zeros(len(doc), bool)
+    made, longest = [], min(len(item), len(doc))
+    while True:
+        low, high = width - 1, longest
+        while low < high:
+            middle = (low + high + 1) // 2
+            left, right = (_open_windows(x, m, middle) for x, m in zip((item, doc), marked, strict=True))
+            low, high = (middle, high) if np.isin(left[0], right[0]).any() else (low, middle - 1)
+        longest = low
+        if low < width:
+            return made
+        (seen, at_item), (wanted, at_doc) = (_open_windows(x, m, low) for x, m in zip((item, doc), marked, strict=True))
+        order = np.argsort(seen, kind="stable")
+        seen, at_item = seen[order], at_item[order]
+        begin, end = (np.searchsorted(seen, wanted, side=x) for x in ("left", "right"))
+        shut = np.zeros(len(item), bool)  # places of the item where a window meets a mark
+        upto = 0
+        for k in np.flatnonzero(end > begin).tolist():
+            q = int(at_doc[k])
+            if q < upto:
+                continue
+            places = at_item[begin[k] : end[k]]
+            free = places[~shut[places]]
+            if len(free):
+                p = int(free[0])
+                marked[0][p : p + low] = True
+                marked[1][q : q + low] = True
+                shut[max(0, p - low + 1) : p + low] = True
+                upto = q + low
+                made.append((p, q, low))
+
+
+def _open_windows(words: np.ndarray, marked: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all windows of ``size`` words without a mark, and their places."""
+    n = len(words) - size + 1
+    if n <= 0:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    values = mixed(words.astype(np.uint64) + np.uint64(1))
+    done = 1
+    total, left, offset = None, size, 0  # doubling: windows of 1, 2, 4, ... words, joined to one of ``size``
+    while left:
+        if left & 1:
+            part = values[offset : offset + n]
+            total = part if total is None else mixed(total * np.uint64(3) + part)
+            offset += done
+        left >>= 1
+        if left:
+            values = mixed(values[:-done] * np.uint64(3) + values[done:])
+            done *= 2
+    crossed = np.r_[0, np.cumsum(marked)]
+    places = np.flatnonzero(crossed[size:] == crossed[:n])
+    return total[places], places
+
+
 @dataclass
 class Items:
-    """Items of a block: for each seed hash, sorted, the item and the place; and each item's number of words."""
+    """Items of a block: for each seed hash, sorted, the item and the place; each item's number of words, and all words."""
 
     ids: list
     sizes: np.ndarray
+    words: np.ndarray
     seeds: np.ndarray
     item: np.ndarray
     place: np.ndarray
@@ -91,7 +156,7 @@ class Items:
         seeds, at = words.windows(width)
         owner = words.owner[at]
         order = np.argsort(seeds, kind="stable")
-        return cls(ids, words.counts, seeds[order], owner[order], (at - words.bounds[owner])[order])
+        return cls(ids, words.counts, words.hashes, seeds[order], owner[order], (at - words.bounds[owner])[order])
 
     def table(self) -> np.ndarray:
         held = np.zeros(1 << TABLE_BITS, bool)
@@ -104,9 +169,24 @@ class Items:
         values, at = words.windows(width)
         maybe = np.flatnonzero(held[(values >> np.uint64(64 - TABLE_BITS)).astype(np.int64)])
         left, right = (np.searchsorted(self.seeds, values[maybe], side=side) for side in ("left", "right"))
-        n = right - left
+        at, n = at[maybe], right - left
+        owner = words.owner[at]
+        cuts = np.flatnonzero(np.r_[True, np.diff(owner) != 0, True]) if len(owner) else np.zeros(1, int)
+        total = np.r_[0, np.cumsum(n)][cuts]  # seeds of the documents before
+        a = 0
+        while a < len(cuts) - 1:
+            b = max(a + 1, int(np.searchsorted(total, total[a] + SEEDS, side="right")) - 1)
+            here = slice(cuts[a], cuts[b])
+            if total[b] - total[a] <= SEEDS:
+                yield from self._listed(words, at[here], left[here], n[here], width)
+            else:
+                yield from self._counted(words, int(owner[cuts[a]]), left[here], right[here], width)
+            a = b
+
+    def _listed(self, words: Words, at: np.ndarray, left: np.ndarray, n: np.ndarray, width: int) -> Iterator[tuple[int, int, list[tuple[int, int, int]]]]:
+        """Documents whose seeds are few: all of them at once."""
         seed = np.repeat(left - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        at = np.repeat(at[maybe], n)
+        at = np.repeat(at, n)
         owner = words.owner[at]
         order = np.lexsort((self.item[seed], owner))
         seed, at, owner = seed[order], at[order], owner[order]
@@ -116,6 +196,16 @@ class Items:
             doc, which = int(owner[a]), int(item[a])
             yield doc, which, tiles(int(self.sizes[which]), self.place[seed[a:b]], at[a:b] - words.bounds[doc], width)
 
+    def _counted(self, words: Words, doc: int, left: np.ndarray, right: np.ndarray, width: int) -> Iterator[tuple[int, int, list[tuple[int, int, int]]]]:
+        """One document with very many seeds: item by item, from the words."""
+        begins, ends = np.cumsum(self.sizes) - self.sizes, np.cumsum(self.sizes)
+        asked = np.zeros(len(self.seeds) + 1, np.int64)
+        np.add.at(asked, left, 1)
+        np.add.at(asked, right, -1)
+        mine = words.hashes[words.bounds[doc] : words.bounds[doc + 1]]
+        for which in np.unique(self.item[np.cumsum(asked)[:-1] > 0]).tolist():
+            yield doc, which, tiles_of_repeats(self.words[begins[which] : ends[which]], mine, width)
+
 
 def blocks(items: DataFrame, key: str = "item_id", text: str = "text", block_bytes: int = BLOCK_BYTES) -> Iterator[Items]:
     """All items, in blocks of about ``block_bytes``."""

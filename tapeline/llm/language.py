@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 #: Dictionaries are learned from at most this many excerpts of this many characters per language, ...
 EXCERPTS = 96
 EXCERPT_CHARS = 1_500
-#: ... for at most this many languages, the most frequent ones.
-LANGUAGES = 200
+#: Languages whose compressors a task holds at once; more are tried one after the other for each batch of texts.
+AT_ONCE = 200
 #: Cells among which a language's excerpts are chosen, so that no task sees all rows of a frequent language.
 CELLS = 16
 #: Bytes that are compressed at once.
@@ -44,23 +44,23 @@ def plain(text: str) -> bytes:
 
 
 def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", excerpts: int = EXCERPTS) -> dict[str, bytes]:
-    """A dictionary per language from a bounded sample of (text, lang): ``excerpts`` excerpts of each language.
+    """A dictionary per language from a bounded sample of (text, lang): ``excerpts`` excerpts of each language, whatever their number.
 
     Rows are chosen by a hash of the text, the same at every run; a text that repeats counts once.
     """
     rows = labelled.select(F.col(text).alias("text"), F.col(lang).alias("lang")).where("text is not null and lang is not null")
-    frequent = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).select("lang")
-    names = [row["lang"] for row in frequent.collect()]
+    rows = rows.withColumn("order", F.xxhash64("text"))
+    cell = F.pmod(F.shiftright("order", 8), F.lit(CELLS)).alias("cell")
+    # repeats go before the rows of a cell are ranked, so that a frequent text is one row there
     chosen = (
-        rows.where(F.col("lang").isin(names))
-        .withColumn("order", F.xxhash64("text"))
-        .withColumn("cell", F.pmod(F.shiftright("order", 8), F.lit(CELLS)))
-        .withColumn("from", 1 + F.pmod(F.shiftright("order", 16), F.greatest(F.lit(1), F.length("text") - EXCERPT_CHARS)))
-        .select("lang", "cell", "order", F.substring("text", F.col("from"), F.lit(EXCERPT_CHARS)).alias("excerpt"))
-        .withColumn("place", F.dense_rank().over(Window.partitionBy("lang", "cell").orderBy("order")))
+        rows.select("lang", "order").distinct().select("lang", "order", cell)
+        .withColumn("place", F.row_number().over(Window.partitionBy("lang", "cell").orderBy("order")))
         .where(F.col("place") <= -(-excerpts // CELLS))
-        .dropDuplicates(["lang", "order"])
+        .select("lang", "order")
     )
+    start = 1 + F.pmod(F.shiftright("order", 16), F.greatest(F.lit(1), F.length("text") - EXCERPT_CHARS))
+    chosen = rows.join(chosen, ["lang", "order"], "left_semi").withColumn("from", start)
+    chosen = chosen.select("lang", "order", F.substring("text", F.col("from"), F.lit(EXCERPT_CHARS)).alias("excerpt")).dropDuplicates(["lang", "order"])
     parts: dict[str, list[tuple[int, str]]] = {}
     for row in chosen.select("lang", "order", "excerpt").collect():
         parts.setdefault(row["lang"], []).append((row["order"], row["excerpt"]))
@@ -68,33 +68,46 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", excerpts:
 
 
 class Encoders:
-    """Compressors of all languages."""
-
-    def __init__(self, dictionaries: dict[str, bytes]):
-        self.names = [name for name, content in sorted(dictionaries.items()) if len(content) >= 8]
-        self.compressors = []
-        for name in self.names:
-            content = zstandard.ZstdCompressionDict(dictionaries[name], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-            content.precompute_compress(level=LEVEL)
-            self.compressors.append(
-                zstandard.ZstdCompressor(level=LEVEL, dict_data=content, write_checksum=False, write_content_size=False, write_dict_id=False)
-            )
-
-    def sizes(self, text: str) -> np.ndarray:
-        data = plain(text)
-        blocks = [data[at : at + BLOCK_BYTES] for at in range(0, len(data), BLOCK_BYTES)]
-        return np.array([sum(len(c.compress(block)) for block in blocks) for c in self.compressors], np.int64)
-
-    def judge(self, text: str | None) -> tuple[str, float, bool]:
-        """Language, score from 0 to 1, and whether the text is rejected."""
-        if not text or not self.names or not any(map(str.isalpha, text)):
-            return UNDETERMINED, 0.0, True
-        sizes = self.sizes(text)
-        best = int(sizes.argmin())
-        behind = np.delete(sizes - sizes[best], best)
-        score = float(1 / (1 + np.exp(-behind / (2 + 0.01 * sizes[best])).sum()))
-        narrow = len(behind) > 0 and behind.min() < max(MARGIN_BYTES, MARGIN * sizes[best])
-        return self.names[best], score, bool(narrow)
+    """Compressors of all languages, of ``at_once`` of them at a time."""
+
+    def __init__(self, dictionaries: dict[str, bytes], at_once: int = AT_ONCE):
+        self.dictionaries = {name: content for name, content in sorted(dictionaries.items()) if len(content) >= 8}
+        self.names = list(self.dictionaries)
+        self.parts = [self.names[a : a + at_once] for a in range(0, len(self.names), at_once)]
+        self.held = [_compressor(self.dictionaries[x]) for x in self.names] if len(self.parts) == 1 else None
+
+    def sizes(self, texts: list[str]) -> np.ndarray:
+        """Sizes of each text with each language."""
+        sizes = np.zeros((len(texts), len(self.names)), np.int64)
+        cut = []
+        for text in texts:
+            data = plain(text)
+            cut.append([data[at : at + BLOCK_BYTES] for at in range(0, len(data), BLOCK_BYTES)])
+        at = 0
+        for names in self.parts:
+            compressors = self.held or [_compressor(self.dictionaries[x]) for x in names]
+            for i, blocks in enumerate(cut):
+                sizes[i, at : at + len(names)] = [sum(len(c.compress(block)) for block in blocks) for c in compressors]
+            at += len(names)
+        return sizes
+
+    def judge(self, texts: list[str | None]) -> list[tuple[str, float, bool]]:
+        """Of each text the language, a score from 0 to 1, and whether it is rejected."""
+        judged = [(UNDETERMINED, 0.0, True)] * len(texts)
+        told = [i for i, x in enumerate(texts) if x and self.names and any(map(str.isalpha, x))]
+        for i, sizes in zip(told, self.sizes([texts[i] for i in told]), strict=True):
+            best = int(sizes.argmin())
+            behind = np.delete(sizes - sizes[best], best)
+            score = float(1 / (1 + np.exp(-behind / (2 + 0.01 * sizes[best])).sum()))
+            narrow = len(behind) > 0 and behind.min() < max(MARGIN_BYTES, MARGIN * sizes[best])
+            judged[i] = self.names[best], score, bool(narrow)
+        return judged
+
+
+def _compressor(content: bytes) -> zstandard.ZstdCompressor:
+    dictionary = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+    dictionary.precompute_compress(level=LEVEL)
+    return zstandard.ZstdCompressor(level=LEVEL, dict_data=dictionary, write_checksum=False, write_content_size=False, write_dict_id=False)
 
 
 def identify(docs: DataFrame, dictionaries: dict[str, bytes], key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -103,7 +116,7 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], key: str = "doc_id
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoders = Encoders(dictionaries)
         for batch in batches:
-            judged = [encoders.judge(x.as_py()) for x in batch.column(1)]
+            judged = encoders.judge(batch.column(1).to_pylist())
             columns = [pa.array([x[k] for x in judged], kind) for k, kind in enumerate((pa.string(), pa.float64(), pa.bool_()))]
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=[key, "lang_pred", "score", "rejected"])
 
@@ -118,6 +131,6 @@ def told(docs: DataFrame, dictionaries: dict[str, bytes], text: str = "text") ->
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoders = Encoders(dictionaries)
         for batch in batches:
-            yield batch.filter(pa.array([not encoders.judge(x.as_py())[2] for x in batch.column(at)], pa.bool_()))
+            yield batch.filter(pa.array([not rejected for *_, rejected in encoders.judge(batch.column(at).to_pylist())], pa.bool_()))
 
     return docs.mapInArrow(keep, docs.schema)

@@ -15,7 +15,7 @@ def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     dictionaries = language.learn(docs.where(rest("doc_id", 4) != 2))
     judged = language.identify(docs, dictionaries)
-    return judged.select("doc_id", (rest("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score", "rejected")
+    return judged.select("doc_id", F.coalesce(rest("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score", "rejected")
 
 
 def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:

@@ -2,8 +2,10 @@
 
 import random
 import re
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -11,6 +13,7 @@ import odd
 from tapeline.llm import decontamination, licenses, url_filter
 from tapeline.llm.queries import ORACLE, op10_decontamination, op9_license_scan
 from tapeline.llm.tables import stored
+from tapeline.llm.texts import Texts
 
 FOLDER = "/root/testdata/sf0.01"
 
@@ -279,3 +282,36 @@ def test_decontamination_query(spark):
     docs, items = ([tuple(r) for r in spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet").select(key, "text").collect()] for name, key in (("documents", "doc_id"), ("benchmark", "item_id")))
     found = sorted(map(tuple, op10_decontamination(spark, "/root/testdata/sf0.001").collect()), key=str)
     assert found == plain_matches(docs, items) and found
+
+
+@pytest.mark.parametrize("seed", range(25))
+def test_tiles_of_repeats(seed):
+    """The tiling from the words themselves equals that from all seeds, on texts of very few different words."""
+    draw = random.Random(seed)
+    a, b = ([draw.choice("ab" if seed % 2 else "a" * 30 + "bc") for _ in range(draw.randint(0, 160))] for _ in range(2))
+    a[:0] = b[5:60] if seed % 3 else []
+    width = draw.randint(1, 6)
+    hashed = [np.array([ord(x) for x in t], np.uint64) for t in (a, b)]
+    assert sorted(decontamination.tiles_of_repeats(*hashed, width)) == sorted(plain_tiles(a, b, width))
+
+
+def test_one_word_over_and_over(spark):
+    """A document and an item of one word: 80 million places that agree, in bounded memory."""
+    texts = pa.array(["again " * 20_000, "again " * 3_000 + "now", "not at all"])
+    items = decontamination.Items.of([1, 2], ["again " * 4_000, "once more " * 10])
+    tracemalloc.start()
+    found = list(items.matches(Texts.of(texts), items.table()))
+    assert tracemalloc.get_traced_memory()[1] < 200 << 20
+    tracemalloc.stop()
+    assert [(d, i, sum(x[2] for x in made)) for d, i, made in found] == [(0, 0, 4_000), (1, 0, 3_000)]
+
+
+def test_many_seeds_answer_as_few(spark, monkeypatch):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(60)
+    items = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
+    texts = Texts.of(pa.array([r.text for r in docs.collect()]), lower=True)
+    made = decontamination.Items.of(*zip(*[(r.item_id, r.text) for r in items.collect()], strict=True))
+    plain = [(d, i, t) for d, i, t in made.matches(texts, made.table())]
+    for seeds in (1, 7, 100):
+        monkeypatch.setattr(decontamination, "SEEDS", seeds)
+        assert [(d, i, t) for d, i, t in made.matches(texts, made.table())] == plain
