@@ -137,11 +137,14 @@ PRICE_TABLE = f"SELECT ticker, date, seq, close, daily_return, return_pct, {LABE
 SYMBOL = "CASE WHEN c_mktsegment = 'MACHINERY' THEN c_name || '-USD' ELSE c_name END"
 RUN_SECONDS = 996667200
 
+# The exact sum in units of 2 to the -80, rounded once: no partial result depends on the order of the rows.
+EXACT_MEAN = "sum((return_pct * power(2.0, 80))::HUGEINT)::VARCHAR::DOUBLE / power(2.0, 80) / count(return_pct)"
+
 ORACLE: dict[str, str] = {
     "returns": f"WITH {PRICES}, {RETURNS} SELECT * FROM returns",
     "returns_split": f"WITH {PRICES}, {RETURNS} SELECT * FROM returns",
     "returns_summary": f"""WITH {PRICES}, {RETURNS}
-SELECT count(*) AS total_assets, count(DISTINCT ticker) AS distinct_tickers, round(avg(return_pct), 6) AS avg_return_pct,
+SELECT count(*) AS total_assets, count(DISTINCT ticker) AS distinct_tickers, {EXACT_MEAN} AS avg_return_pct,
        count(*) FILTER (return_pct > 0) AS gainers, count(*) FILTER (return_pct < 0) AS losers FROM returns""",
     "top_performers": f"""WITH {PRICES}, {RETURNS}
 SELECT ticker, date, seq, return_pct, CASE WHEN return_pct > 0 THEN 'green' ELSE 'red' END AS direction
@@ -149,7 +152,7 @@ FROM returns ORDER BY {BEST_FIRST} LIMIT 5""",
     "price_table": f"WITH {PRICES}, {RETURNS} {PRICE_TABLE} ORDER BY {BEST_FIRST}",
     "recap_summary": f"""WITH {NARROW}
 SELECT 'Daily Market Recap - ' || strftime(DATE '2001-08-01', '%B %d, %Y') AS title, count(*) AS total_assets,
-       count(DISTINCT ticker) AS distinct_tickers, round(avg(return_pct), 6) AS avg_return_pct,
+       count(DISTINCT ticker) AS distinct_tickers, {EXACT_MEAN} AS avg_return_pct,
        count(*) FILTER (return_pct > 0) AS gainers, count(*) FILTER (return_pct < 0) AS losers,
        {SCORE} AS quality_score, printf('%.2f', avg(return_pct)) || '%' AS avg_return_label,
        printf('%.1f', {SCORE} * 100) || '%' AS quality_score_label FROM returns""",

@@ -94,8 +94,7 @@ def returns_split(spark, folder):
 
 @query
 def returns_summary(spark, folder):
-    summary = recap.market_summary(returns_of(spark, folder))
-    return summary.withColumn("avg_return_pct", F.round("avg_return_pct", 6))
+    return recap.market_summary(returns_of(spark, folder))
 
 
 @query
@@ -110,8 +109,7 @@ def price_table(spark, folder):
 
 @query
 def recap_summary(spark, folder):
-    summary = recap.recap_summary(returns_of(spark, folder), report(spark, folder).summary, run_moment())
-    return summary.withColumn("avg_return_pct", F.round("avg_return_pct", 6))
+    return recap.recap_summary(returns_of(spark, folder), report(spark, folder).summary, run_moment())
 
 
 @query

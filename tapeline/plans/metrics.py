@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tapeline import schemas, wording
 from tapeline.functions import dates, numbers, text
-from tapeline.operators import ordering, single_rows
+from tapeline.operators import exact, ordering, single_rows
 from tapeline.plans.returns import best_first
 
 # Names on one line of a list of symbols.
@@ -97,7 +97,7 @@ def news_metrics(news: DataFrame, universe: DataFrame | None = None) -> DataFram
 
 def returns_metrics(returns: DataFrame) -> DataFrame:
     returns = schemas.conform(returns, schemas.RETURNS)
-    change = numbers.nan_as_null(F.col("return_pct"))
+    mean = exact.exact_mean(returns, F.col("return_pct"), "avg_return_pct")
     top = ordering.csv_preview(returns, best_first(), PREVIEW_ROWS, ["ticker", "return_pct"])
     preview = ordering.csv_preview(
         returns,
@@ -106,10 +106,8 @@ def returns_metrics(returns: DataFrame) -> DataFrame:
         schemas.measured_columns(returns, schemas.RETURNS),
     )
     return single_rows.combine(
-        returns.agg(
-            F.count(F.lit(1)).alias("num_records"),
-            numbers.round_half_even(F.avg(change)).alias("avg_return_pct"),
-        ),
+        returns.agg(F.count(F.lit(1)).alias("num_records")),
+        mean.select(numbers.round_half_even(F.col("avg_return_pct")).alias("avg_return_pct")),
         top.select(F.col("csv").alias("top_gainers")),
         preview.select(F.col("csv").alias("preview")),
     )

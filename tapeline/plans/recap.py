@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tapeline import schemas, wording
 from tapeline.functions import dates, numbers
-from tapeline.operators import single_rows
+from tapeline.operators import exact, single_rows
 from tapeline.plans.news import news_digest
 from tapeline.plans.quality import QualityReport
 from tapeline.plans.returns import best_first, top_performers
@@ -31,15 +31,18 @@ class Recap:
 
 
 def market_summary(returns: DataFrame) -> DataFrame:
-    """Row count (printed as the number of tracked assets), distinct tickers, mean, gainers and losers: one row."""
+    """Row count (printed as the number of tracked assets), distinct tickers, mean, gainers and losers: one row. The mean is the
+    same whatever the order and partitioning of the rows."""
     change = numbers.nan_as_null(F.col("return_pct"))
-    return schemas.conform(returns, schemas.RETURNS).agg(
+    rows = schemas.conform(returns, schemas.RETURNS)
+    counts = rows.agg(
         F.count(F.lit(1)).alias("total_assets"),
         F.count_distinct("ticker").alias("distinct_tickers"),
-        F.avg(change).alias("avg_return_pct"),
         F.count_if(change > 0).alias("gainers"),
         F.count_if(change < 0).alias("losers"),
     )
+    combined = single_rows.combine(counts, exact.exact_mean(rows, F.col("return_pct"), "avg_return_pct"))
+    return combined.select("total_assets", "distinct_tickers", "avg_return_pct", "gainers", "losers")
 
 
 def recap_summary(returns: DataFrame, quality_summary: DataFrame, as_of: datetime | Column) -> DataFrame:
