@@ -277,6 +277,7 @@ SELECT ticker, seq, {LABELS}, CAST(return_pct AS VARCHAR) AS return_pct_text,
        CASE WHEN return_pct > 0 THEN 'green' ELSE 'red' END AS direction, '20010801' AS run_date,
        strftime(DATE '2001-08-01', '%B %d, %Y') AS run_title FROM returns""",
     "materialise_roundtrip": f"WITH {PRICES}, {RETURNS} SELECT * FROM returns",
+    "replaced_dataset": f"WITH {PRICES}, {RETURNS} SELECT * FROM returns",
     "recap_roundtrip": f"WITH {PRICES}, {RETURNS} SELECT *, '20010801' AS run_date FROM ({PRICE_TABLE})",
     "recap_metrics": f"""WITH {NARROW}, {QUALITY_LINES}, sizes AS (
   SELECT 'summary' AS section, 1::BIGINT AS rows

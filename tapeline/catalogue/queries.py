@@ -412,6 +412,23 @@ def materialise_roundtrip(spark, folder):
     return tables.materialise(returns_of(spark, folder), new_folder(spark, "roundtrip"), "returns")
 
 
+@query
+def replaced_dataset(spark, folder):
+    """A dataset committed twice, with a write that stays uncommitted and one that fails midway after it; as readers see it."""
+    root = new_folder(spark, "replaced")
+    rows = returns_of(spark, folder)
+    tables.materialise(rows.where("close < 100000"), root, "returns")
+    tables.materialise(rows, root, "returns")
+    tables.prepare(rows.where("close < 50000"), root, "returns")
+    broken = F.when(F.col("seq") % 2 == 0, F.raise_error(F.lit("no such price"))).otherwise(F.col("close"))
+    try:
+        tables.materialise(rows.withColumn("close", broken.cast("double")), root, "returns")
+    except Exception as failure:  # the kind depends on where the task failed
+        if "no such price" not in str(failure):
+            raise
+    return tables.reload(spark, root, "returns", rows.schema)
+
+
 @query
 def recap_roundtrip(spark, folder):
     root = new_folder(spark, "recap")

@@ -8,13 +8,13 @@ from pyspark.sql import DataFrame
 
 from tapeline.plans import metrics
 from tapeline.plans.news import build_news
-from tapeline.plans.prices import build_prices, require_prices
+from tapeline.plans.prices import NoPriceData, build_prices, require_prices
 from tapeline.plans.quality import QualityReport, quality_checks, require_quality
 from tapeline.plans.recap import recap
 from tapeline.plans.returns import build_returns
 from tapeline.session import discard, new_folder
 from tapeline.settings import Thresholds
-from tapeline.sinks import tables
+from tapeline.sinks import commits, tables
 
 
 def refresh(
@@ -63,10 +63,14 @@ def _refresh(
         build_news(feeds, universe, keep_first), root, "news", compact=True
     )
     window_end = as_of if limit_to_window else None
-    # Payloads are decoded once, aside, so that a refresh without any price leaves the stored prices untouched.
-    prices = tables.materialise(build_prices(payloads, universe, window_end, keep_last), work, "prices", compact=True)
-    require_prices(prices)
-    stored["prices"] = tables.materialise(prices, root, "prices")
+    # Prices are written once; a refresh without any price does not commit them and leaves the stored ones in place.
+    prices = tables.prepare(build_prices(payloads, universe, window_end, keep_last), root, "prices", compact=True)
+    try:
+        require_prices(prices.df)
+    except NoPriceData:
+        discard(spark, prices.path)
+        raise
+    stored["prices"] = commits.commit(prices)
     stored["returns"] = tables.materialise(build_returns(stored["prices"], root=work), root, "returns")
 
     report = quality_checks(stored["prices"], stored["returns"], universe, thresholds)

@@ -1,4 +1,4 @@
-"""Dataset storage: one Parquet table per dataset, recap sections partitioned by run date."""
+"""Dataset storage: versions of one Parquet table per dataset, recap sections partitioned by run date."""
 
 from __future__ import annotations
 
@@ -8,25 +8,31 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tapeline.functions import dates, numbers
+from tapeline.sinks import commits
 
 
 def dataset_path(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{name}"
 
 
-def materialise(df: DataFrame, root: str, name: str, compact: bool = False) -> DataFrame:
-    """Write a dataset under its name, replacing the previous one, and return it as read back.
+def prepare(df: DataFrame, root: str, name: str, compact: bool = False) -> commits.Version:
+    """Store a dataset beside its present version, which readers keep until ``commits.commit``.
 
     ``compact`` is for datasets far smaller than the documents they come from: rows are rebalanced into files of the
     adaptive planner's target size instead of one small file per input split.
     """
-    rows = df.hint("rebalance") if compact else df
-    rows.write.mode("overwrite").parquet(dataset_path(root, name))
-    return reload(df.sparkSession, root, name, df.schema)
+    return commits.write(df.hint("rebalance") if compact else df, dataset_path(root, name))
+
+
+def materialise(df: DataFrame, root: str, name: str, compact: bool = False) -> DataFrame:
+    """Write a dataset under its name, replacing the previous version, and return it as read back. A write that fails leaves the
+    previous version in place."""
+    return commits.commit(prepare(df, root, name, compact))
 
 
 def reload(spark: SparkSession, root: str, name: str, schema: T.StructType) -> DataFrame:
-    return spark.read.schema(schema).parquet(dataset_path(root, name))
+    """The present version of a dataset."""
+    return commits.read(spark, dataset_path(root, name), schema)
 
 
 def run_date_of(spark: SparkSession, as_of: datetime | Column) -> str:

@@ -103,10 +103,11 @@ def test_refresh_replaces_a_run_of_the_same_day_only(spark, landed, tmp_path):
 def test_no_price_aborts_and_keeps_what_is_stored(spark, landed, tmp_path):
     universe = default_universe(spark)
     payloads, feeds = landed
-    refresh(payloads, feeds, universe, str(tmp_path), MOMENT)
+    stored = refresh(payloads, feeds, universe, str(tmp_path), MOMENT)
     with pytest.raises(NoPriceData):
         refresh(payloads.withColumn("status", F.lit(429)), feeds, universe, str(tmp_path), MOMENT)
-    assert spark.read.parquet(str(tmp_path / "prices")).count() == 104
+    assert tables.reload(spark, str(tmp_path), "prices", stored["prices"].schema).count() == 104
+    assert len([p for p in (tmp_path / "prices").iterdir() if p.name.startswith("version-")]) == 1
 
 
 def test_no_news_is_allowed(spark, landed, tmp_path):
