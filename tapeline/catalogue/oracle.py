@@ -167,6 +167,18 @@ UNION ALL SELECT 4, '• Gainers: ' || gainers || ' | Losers: ' || losers FROM l
 UNION ALL SELECT 5, '• Data Quality Score: ' || score || '%' FROM lines""",
     "quality_lines": f"""WITH {NARROW}, {QUALITY_LINES}
 SELECT CAST(row_number() OVER (ORDER BY part, check_id) - 1 AS INTEGER) AS line_no, line FROM lines""",
+    "rejected_payloads": """WITH documents_of AS (
+  SELECT o_custkey, CAST(floor(o_orderkey / 50000) AS BIGINT) AS part, o_custkey % 50 AS kind, arg_min(o_orderkey, o_orderkey) % 37 <> 0 AS first_close,
+         count(*) FILTER (o_orderkey % 37 <> 0) AS closes FROM orders GROUP BY ALL), judged AS (
+  SELECT CAST(o_custkey AS VARCHAR) AS ticker, part,
+         CASE WHEN kind = 7 THEN 'unanswered' WHEN kind IN (11, 23) THEN 'unreadable' WHEN kind = 29 THEN 'no_result'
+              WHEN kind = 13 THEN 'short' WHEN closes = 0 THEN 'no_close' WHEN kind = 17 THEN 'short'
+              WHEN kind = 19 AND first_close THEN 'no_number' END AS reason FROM documents_of)
+SELECT ticker, part, reason,
+       CASE reason WHEN 'unanswered' THEN 'the request was not answered' WHEN 'unreadable' THEN 'the body is no single JSON document'
+         WHEN 'no_result' THEN 'the document holds no result' WHEN 'short' THEN 'a series ends before the last bar'
+         WHEN 'no_close' THEN 'no bar has a close' ELSE 'a kept bar holds something that is no number' END AS message
+FROM judged WHERE reason IS NOT NULL""",
     "prices_from_json": f"WITH {BARS} SELECT * EXCLUDE (o_orderkey) FROM bars",
     "build_prices": f"""WITH {BARS} SELECT * EXCLUDE (o_orderkey) FROM bars
 QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY o_orderkey DESC) <= 2""",

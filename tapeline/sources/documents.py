@@ -71,34 +71,10 @@ def decode_payloads(
     A document that cannot be decoded in full gives no rows at all; other documents are not affected. ``as_of`` limits
     the bars to the ``days`` before it, ``keep_last`` to the last bars of each document.
     """
-    documents = answered(payloads)
+    documents = parsed_payloads(payloads)
     keys = [c for c in ("ticker", "part") if c in documents.columns]
-    # As the only element of an array, a body that is cut off or followed by anything does not parse.
-    listed = F.from_json(F.concat(F.lit("["), F.col("body"), F.lit("]")), schemas.PAYLOAD_BODIES, JSON_OPTIONS)
-    documents = evaluated(documents, keys, F.struct(listed.alias("listed"))).where(F.size("listed") == 1)
-    documents = documents.select(*keys, F.inline(F.array(F.get(F.get("listed", F.lit(0))["chart"]["result"], F.lit(0)))))
-    quote = F.get(F.col("indicators.quote"), F.lit(0))
-    texts = {"timestamp": F.col("timestamp"), **{name: quote[name] for name in QUOTE_FIELDS}}
-    numbers_read = [F.transform(values, _number).alias(name) for name, values in texts.items()]
-    # Values that are no numbers are told from missing ones by their place.
-    odd = [F.transform(values, lambda x: x.isNotNull() & _number(x).isNull()).alias(f"odd_{name}") for name, values in texts.items()]
-    documents = evaluated(documents, keys, F.struct(*numbers_read, *odd))
-
-    # The arrays belong together by position, up to the number of timestamps; bars without a close are not kept.
-    count = F.size("timestamp")
-    closes = F.slice("close", F.lit(1), count)
-    kept = F.array_compact(
-        F.transform(closes, lambda close, i: F.when(close.isNotNull() | F.get("odd_close", i), i))
-    )
     arrays = ["timestamp", *QUOTE_FIELDS]
-    marks = [f"odd_{name}" for name in arrays]
-    documents = evaluated(
-        documents.where((F.size("close") >= count) & (count > 0)), [*keys, *arrays, *marks], F.struct(kept.alias("kept"))
-    )
-
-    # Every other array must reach the last kept bar, and each kept bar must hold storable numbers.
-    reach = F.least(*[F.coalesce(F.size(name), F.lit(-1)) for name in arrays])
-    documents = documents.where((reach > F.try_element_at("kept", F.lit(-1))) & _readable(marks) & _storable())
+    documents = documents.where(F.col("reason").isNull())
 
     kept = F.col("kept")
     if as_of is not None:
@@ -119,11 +95,73 @@ def decode_payloads(
     )
 
 
+def parsed_payloads(payloads: DataFrame) -> DataFrame:
+    """One row per payload: its arrays as numbers, the places ``kept`` of bars with a close, and ``reason``, null for a payload whose
+    bars are taken and otherwise what is wrong with it (see ``wording.REJECTIONS``). Each body is parsed once, and each value."""
+    documents = schemas.conform_documents(payloads)
+    keys = [c for c in ("ticker", "part") if c in documents.columns]
+    is_answered = F.coalesce(F.col("status") == HTTP_OK, F.lit(False))
+    # As the only element of an array, a body that is cut off or followed by anything does not parse.
+    body = F.when(is_answered, F.concat(F.lit("["), F.col("body"), F.lit("]")))
+    listed = F.from_json(body, schemas.PAYLOAD_BODIES, JSON_OPTIONS)
+    documents = evaluated(documents, [*keys, "status"], F.struct(listed.alias("listed")))
+    whole = F.coalesce(F.size("listed") == 1, F.lit(False))
+    result = F.when(whole, F.get(F.get("listed", F.lit(0))["chart"]["result"], F.lit(0)))
+    documents = documents.select(*keys, is_answered.alias("answered"), whole.alias("whole"), result.alias("result"))
+    quote = F.get(F.col("result.indicators.quote"), F.lit(0))
+    texts = {"timestamp": F.col("result.timestamp"), **{name: quote[name] for name in QUOTE_FIELDS}}
+    numbers_read = [F.transform(values, _number).alias(name) for name, values in texts.items()]
+    shown = [values.alias(f"text_{name}") for name, values in texts.items()]
+    documents = evaluated(documents, [*keys, "answered", "whole", F.col("result").isNotNull().alias("delivered")], F.struct(*numbers_read, *shown))
+    # Values that are no numbers are told from missing ones by their place.
+    odd = [_odd(name).alias(f"odd_{name}") for name in texts]
+    arrays = ["timestamp", *QUOTE_FIELDS]
+    marks = [f"odd_{name}" for name in arrays]
+    facts = ["answered", "whole", "delivered"]
+    documents = evaluated(documents, [*keys, *facts, *arrays], F.struct(*odd))
+
+    # The arrays belong together by position, up to the number of timestamps; bars without a close are not kept.
+    count = F.coalesce(F.size("timestamp"), F.lit(-1))
+    enough = (count > 0) & (F.coalesce(F.size("close"), F.lit(-1)) >= count)
+    closes = F.slice("close", F.lit(1), count)
+    kept = F.array_compact(F.transform(closes, lambda close, i: F.when(close.isNotNull() | F.get("odd_close", i), i)))
+    documents = evaluated(documents, [*keys, *facts, *arrays, *marks], F.struct(F.when(enough, kept).alias("kept")))
+
+    # Every other array must reach the last kept bar, and each kept bar must hold storable numbers.
+    reach = F.least(*[F.coalesce(F.size(name), F.lit(-1)) for name in arrays])
+    checks = [
+        ("unanswered", F.col("answered")),
+        ("unreadable", F.col("whole")),
+        ("no_result", F.col("delivered")),
+        ("no_bars", F.coalesce(F.size("timestamp"), F.lit(0)) > 0),
+        ("short", F.col("kept").isNotNull()),
+        ("no_close", F.size("kept") > 0),
+        ("short", reach > F.try_element_at("kept", F.lit(-1))),
+        ("no_number", _readable(marks)),
+        ("not_storable", _storable()),
+    ]
+    reason = F.coalesce(*[F.when(~F.coalesce(good, F.lit(False)), F.lit(name)) for name, good in checks])
+    return evaluated(documents, [*keys, *arrays, "kept"], F.struct(reason.alias("reason")))
+
+
+def rejected_payloads(parsed: DataFrame) -> DataFrame:
+    """The payloads of ``parsed_payloads`` that give no bars, with the reason and its text."""
+    keys = [c for c in ("ticker", "part") if c in parsed.columns]
+    reasons = F.create_map(*[F.lit(x) for pair in wording.REJECTIONS.items() for x in pair])
+    rejected = parsed.where(F.col("reason").isNotNull())
+    return rejected.select(*keys, "reason", F.element_at(reasons, F.col("reason")).alias("message"))
+
+
 def _number(text: Column) -> Column:
     """A JSON value, read as text, as a number; NULL when it is none."""
     return F.btrim(text, F.lit('"')).try_cast("double")
 
 
+def _odd(name: str) -> Column:
+    """Which values of an array are there but are no numbers."""
+    return F.transform(f"text_{name}", lambda x, i: x.isNotNull() & F.get(name, i).isNull())
+
+
 def _readable(marks: list[str]) -> Column:
     """Whether no value of a kept bar is something else than a number."""
     none = [~F.array_contains(mark, True) for mark in marks]

@@ -43,3 +43,15 @@ PASSED_BULLET = "✅ "
 FAILED_BULLET = "❌ "
 GAIN_COLOUR = "green"
 LOSS_COLOUR = "red"
+
+# Why a payload gives no bars.
+REJECTIONS = {
+    "unanswered": "the request was not answered",
+    "unreadable": "the body is no single JSON document",
+    "no_result": "the document holds no result",
+    "no_bars": "the result holds no bars",
+    "short": "a series ends before the last bar",
+    "no_close": "no bar has a close",
+    "no_number": "a kept bar holds something that is no number",
+    "not_storable": "a time or volume is beyond what can be stored",
+}
