@@ -59,7 +59,7 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", excerpts:
         .select("lang", "order")
     )
     start = 1 + F.pmod(F.shiftright("order", 16), F.greatest(F.lit(1), F.length("text") - EXCERPT_CHARS))
-    chosen = rows.join(chosen, ["lang", "order"], "left_semi").withColumn("from", start)
+    chosen = rows.join(F.broadcast(chosen), ["lang", "order"], "left_semi").withColumn("from", start)  # excerpts times languages
     chosen = chosen.select("lang", "order", F.substring("text", F.col("from"), F.lit(EXCERPT_CHARS)).alias("excerpt")).dropDuplicates(["lang", "order"])
     parts: dict[str, list[tuple[int, str]]] = {}
     for row in chosen.select("lang", "order", "excerpt").collect():

@@ -32,6 +32,8 @@ VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
 #: Parts of texts whose ids a task remembers at a time, and the bits of the table that finds most of them.
 REMEMBERED, TABLE_BITS = 400_000, 20
+#: Text whose words are looked up at once.
+SLAB_BYTES = 1 << 20
 #: Buckets among which the pieces of one length are ranked, at least.
 BUCKETS = 32
 
@@ -220,7 +222,7 @@ def pieces(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str |
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         encoder = Encoder(path)
-        for batch in slabs(batches):
+        for batch in slabs(batches, limit=SLAB_BYTES):
             ids, bounds = encoder.ids(Texts.of(batch.column(1)))
             each = -(-np.diff(bounds) // capacity)
             owner = np.repeat(np.arange(len(each)), each)
