@@ -289,6 +289,12 @@ SELECT ticker, seq, {LABELS}, CAST(return_pct AS VARCHAR) AS return_pct_text,
        CASE WHEN return_pct > 0 THEN 'green' ELSE 'red' END AS direction, '20010801' AS run_date,
        strftime(DATE '2001-08-01', '%B %d, %Y') AS run_title FROM returns""",
     "materialise_roundtrip": f"WITH {PRICES}, {RETURNS} SELECT * FROM returns",
+    "stored_window": f"WITH {PRICES} SELECT * FROM prices WHERE date BETWEEN DATE '2001-07-26' AND DATE '2001-08-01'",
+    "distinct_sketches": f"""WITH {PRICES}, {RETURNS}
+SELECT (SELECT count(DISTINCT year(date)) FROM prices) AS batches, (SELECT count(*) FROM returns) AS total_assets,
+       (SELECT count(DISTINCT ticker) FROM prices) AS distinct_tickers,
+       (SELECT count(DISTINCT ticker) FROM returns) AS tickers_with_returns,
+       true AS merged_is_near, true AS summarised_is_near""",
     "replaced_dataset": f"WITH {PRICES}, {RETURNS} SELECT * FROM returns",
     "recap_roundtrip": f"WITH {PRICES}, {RETURNS} SELECT *, '20010801' AS run_date FROM ({PRICE_TABLE})",
     "recap_metrics": f"""WITH {NARROW}, {QUALITY_LINES}, sizes AS (

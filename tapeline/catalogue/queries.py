@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tapeline import bindings
 from tapeline.functions import dates, numbers
-from tapeline.operators import duplicates, ordering
+from tapeline.operators import duplicates, ordering, single_rows, sketches
 from tapeline.plans import metrics, news as news_plans, prices as price_plans, quality, recap, returns as return_plans
 from tapeline.session import new_folder
 from tapeline.settings import Thresholds
@@ -422,6 +422,39 @@ def materialise_roundtrip(spark, folder):
     return tables.materialise(returns_of(spark, folder), new_folder(spark, "roundtrip"), "returns")
 
 
+@query
+def stored_window(spark, folder):
+    """Prices stored by month, of which the week before the run moment is read."""
+    root = new_folder(spark, "by_month")
+    rows = prices(spark, folder)
+    tables.materialise(rows, root, "prices", day="date")
+    return tables.reload_window(spark, root, "prices", rows.schema, run_moment())
+
+
+@query
+def distinct_sketches(spark, folder):
+    """Tickers counted from stored sketches of yearly batches, and in the summary's approximate form, against the exact count."""
+    rows = prices(spark, folder)
+    batches = sketches.distinct_sketches(rows.withColumn("batch", F.year("date")), "ticker", ["batch"])
+    stored = tables.materialise(batches, new_folder(spark, "sketches"), "tickers")
+    found = single_rows.combine(
+        stored.agg(F.count(F.lit(1)).alias("batches")),
+        sketches.approximate_distinct(stored, "merged"),
+        recap.market_summary(returns_of(spark, folder), approximate=True).select(F.col("distinct_tickers").alias("summarised"), "total_assets"),
+        returns_of(spark, folder).agg(F.count_distinct("ticker").alias("tickers_with_returns")),
+        rows.agg(F.count_distinct("ticker").alias("distinct_tickers")),
+    )
+    near = lambda estimate, exact: F.abs(F.col(estimate) - F.col(exact)) <= 0.02 * F.col(exact)
+    return found.select(
+        "batches",
+        "total_assets",
+        "distinct_tickers",
+        "tickers_with_returns",
+        near("merged", "distinct_tickers").alias("merged_is_near"),
+        near("summarised", "tickers_with_returns").alias("summarised_is_near"),
+    )
+
+
 @query
 def replaced_dataset(spark, folder):
     """A dataset committed twice, with a write that stays uncommitted and one that fails midway after it; as readers see it."""

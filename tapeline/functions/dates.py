@@ -31,6 +31,12 @@ def lookback_bounds(as_of: datetime | Column, days: int = LOOKBACK_DAYS) -> tupl
     return end - F.lit(days * SECONDS_PER_DAY), end
 
 
+def lookback_days(as_of: datetime | Column, days: int = LOOKBACK_DAYS) -> tuple[Column, Column]:
+    """The first and the last UTC day that begin within ``lookback_bounds``."""
+    start, end = lookback_bounds(as_of, days)
+    return epoch_to_date(start + F.lit(SECONDS_PER_DAY - 1)), epoch_to_date(end)
+
+
 def run_stamp(as_of: datetime | Column) -> Column:
     return F.date_format(as_moment(as_of), "yyyyMMdd")
 

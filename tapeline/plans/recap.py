@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tapeline import schemas, wording
 from tapeline.functions import dates, numbers
-from tapeline.operators import exact, single_rows
+from tapeline.operators import exact, single_rows, sketches
 from tapeline.plans.news import news_digest
 from tapeline.plans.quality import QualityReport
 from tapeline.plans.returns import best_first, top_performers
@@ -30,14 +30,16 @@ class Recap:
         return {f.name: getattr(self, f.name) for f in fields(self)}
 
 
-def market_summary(returns: DataFrame) -> DataFrame:
+def market_summary(returns: DataFrame, approximate: bool = False) -> DataFrame:
     """Row count (printed as the number of tracked assets), distinct tickers, mean, gainers and losers: one row. The mean is the
-    same whatever the order and partitioning of the rows."""
+    same whatever the order and partitioning of the rows. With ``approximate``, tickers are counted by a sketch: the rows are then
+    combined without a shuffle by ticker."""
     change = numbers.nan_as_null(F.col("return_pct"))
     rows = schemas.conform(returns, schemas.RETURNS)
+    tickers = F.hll_sketch_estimate(sketches.sketch_of("ticker")) if approximate else F.count_distinct("ticker")
     counts = rows.agg(
         F.count(F.lit(1)).alias("total_assets"),
-        F.count_distinct("ticker").alias("distinct_tickers"),
+        tickers.alias("distinct_tickers"),
         F.count_if(change > 0).alias("gainers"),
         F.count_if(change < 0).alias("losers"),
     )

@@ -64,7 +64,7 @@ def _refresh(
     )
     window_end = as_of if limit_to_window else None
     # Prices are written once; a refresh without any price does not commit them and leaves the stored ones in place.
-    prices = tables.prepare(build_prices(payloads, universe, window_end, keep_last), root, "prices", compact=True)
+    prices = tables.prepare(build_prices(payloads, universe, window_end, keep_last), root, "prices", day="date")
     try:
         require_prices(prices.df)
     except NoPriceData:

@@ -63,15 +63,17 @@ def current(spark: SparkSession, dataset: str) -> str:
 
 
 def read(spark: SparkSession, dataset: str, schema: T.StructType) -> DataFrame:
-    return spark.read.schema(schema).parquet(current(spark, dataset))
+    """The present version. Columns that only lay out the files are not in ``schema`` and left out."""
+    return spark.read.schema(schema).parquet(current(spark, dataset)).select(*schema.names)
 
 
-def write(df: DataFrame, dataset: str) -> Version:
-    """Store ``df`` as a new version that nobody reads yet."""
+def write(df: DataFrame, dataset: str, layout: str | None = None) -> Version:
+    """Store ``df`` as a new version that nobody reads yet, in a folder per value of the column ``layout`` if there is one."""
     spark = df.sparkSession
     name = f"version-{uuid.uuid4().hex}"
-    df.write.parquet(f"{dataset}/{name}")
-    return Version(dataset, name, spark.read.schema(df.schema).parquet(f"{dataset}/{name}"))
+    (df.write.partitionBy(layout) if layout else df.write).parquet(f"{dataset}/{name}")
+    columns = [c for c in df.columns if c != layout]
+    return Version(dataset, name, spark.read.schema(df.schema).parquet(f"{dataset}/{name}").select(*columns))
 
 
 def commit(version: Version, kept: int = KEPT, abandoned_hours: float = ABANDONED_HOURS) -> DataFrame:

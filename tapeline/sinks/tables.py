@@ -11,23 +11,36 @@ from tapeline.functions import dates, numbers
 from tapeline.sinks import commits
 
 
+#: Folders of a dataset stored by month: year times 100 plus month.
+MONTH = "stored_month"
+
+
 def dataset_path(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{name}"
 
 
-def prepare(df: DataFrame, root: str, name: str, compact: bool = False) -> commits.Version:
+def prepare(df: DataFrame, root: str, name: str, compact: bool = False, day: str | None = None) -> commits.Version:
     """Store a dataset beside its present version, which readers keep until ``commits.commit``.
 
     ``compact`` is for datasets far smaller than the documents they come from: rows are rebalanced into files of the
-    adaptive planner's target size instead of one small file per input split.
+    adaptive planner's target size instead of one small file per input split. With ``day``, a date column, rows are dealt by
+    month, a month with many rows to several tasks, and stored in a folder per month in the order of their days, for
+    ``reload_window``. Rows without a day have a folder of their own.
     """
+    if day is not None:
+        dealt = df.withColumn(MONTH, month_number(F.col(day))).hint("rebalance", MONTH)
+        return commits.write(dealt.sortWithinPartitions(MONTH, day), dataset_path(root, name), MONTH)
     return commits.write(df.hint("rebalance") if compact else df, dataset_path(root, name))
 
 
-def materialise(df: DataFrame, root: str, name: str, compact: bool = False) -> DataFrame:
+def materialise(df: DataFrame, root: str, name: str, compact: bool = False, day: str | None = None) -> DataFrame:
     """Write a dataset under its name, replacing the previous version, and return it as read back. A write that fails leaves the
     previous version in place."""
-    return commits.commit(prepare(df, root, name, compact))
+    return commits.commit(prepare(df, root, name, compact, day))
+
+
+def month_number(day: Column) -> Column:
+    return F.year(day) * 100 + F.month(day)
 
 
 def reload(spark: SparkSession, root: str, name: str, schema: T.StructType) -> DataFrame:
@@ -35,6 +48,18 @@ def reload(spark: SparkSession, root: str, name: str, schema: T.StructType) -> D
     return commits.read(spark, dataset_path(root, name), schema)
 
 
+def reload_window(
+    spark: SparkSession, root: str, name: str, schema: T.StructType, as_of: datetime | Column, day: str = "date", days: int = dates.LOOKBACK_DAYS
+) -> DataFrame:
+    """The rows of a dataset stored by ``day`` whose days begin in the ``days`` before the run moment. Only folders of the months
+    that the window meets are opened, and in their files only row groups with days of it."""
+    first, last = dates.lookback_days(as_of, days)
+    month = T.StructField(MONTH, T.IntegerType())
+    rows = commits.read(spark, dataset_path(root, name), T.StructType([*schema.fields, month]))
+    met = rows.where(F.col(MONTH).between(month_number(first), month_number(last)))
+    return met.where(F.col(day).between(first, last)).select(*schema.names)
+
+
 def run_date_of(spark: SparkSession, as_of: datetime | Column) -> str:
     """The run stamp as text, in the session's zone like every printed date."""
     return spark.range(1).select(dates.run_stamp(as_of)).first()[0]
