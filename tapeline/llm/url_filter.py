@@ -5,8 +5,10 @@ corpus that are not listed and that the first one lets through; the third the li
 on, until nothing is let through wrongly. As the levels are made over all hosts that occur, the answer is exact for each of
 them, and judging a page needs no join: the levels are scalar subqueries over one stored row each.
 
-The levels' size follows the list, which is bounded: beyond MAX_LISTED hosts ``judge`` asks the list itself by a join on the
-host, with the same answers. All work is in built-in expressions.
+The levels' size follows the list. A list of more than SHARD_LISTED hosts is cut into shards by a hash of the host, each of which has
+a cascade of its own over its hosts of the universe: keys and pages are stored in a folder per shard, without a shuffle, and
+shards are judged one after the other, so that a task and the driver hold the filters of one shard. A very common host's pages
+stay in as many tasks as files hold them. All work is in built-in expressions.
 
 Defined cases: a null URL and one without ``://`` have an empty host and path, no rule and verdict allow. Repeated rows are
 each judged. An empty list blocks nothing. An empty table gives an empty result. Other columns are not looked at.
@@ -16,6 +18,7 @@ from __future__ import annotations
 
 import string
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,8 +34,8 @@ RULES = (
 )
 #: Hosts are listed when a part of their name holds one of these.
 LISTED_TERMS = ("spam", "casino", "pills", "bets", "adult", "ads")
-#: Listed hosts up to which the cascade is used: 8 bits a host are 4 MB.
-MAX_LISTED = 4_000_000
+#: Listed hosts of one cascade: 8 bits a host are 4 MB for the first level.
+SHARD_LISTED = 4_000_000
 #: Bits for each key and places set for it, at the first level and at the later ones.
 FIRST, LATER = (8, 5), (6, 4)
 WORD = 64
@@ -120,21 +123,32 @@ def is_listed(key: Column, levels: list[Level]) -> Column:
     return answer
 
 
-def judge(pages: DataFrame, listed: DataFrame, key: str = "page_id", url: str = "url", rules=RULES, max_listed: int = MAX_LISTED) -> DataFrame:
-    """Per page: ``key``, host, path, rule, verdict. ``listed`` (host) is what the method blocks."""
+def judge(pages: DataFrame, listed: DataFrame, key: str = "page_id", url: str = "url", rules=RULES, shard_listed: int = SHARD_LISTED) -> DataFrame:
+    """Per page: ``key``, host, path, rule, verdict. ``listed`` (host) is what the method blocks; a cascade holds about
+    ``shard_listed`` of them."""
     host, path = host_and_path(url)
     read = pages.select(key, host.alias("host"), path.alias("path"))
     universe = read.select(F.col("host").alias("key")).distinct()
     listed = listed.where("host is not null and host <> ''").select(F.col("host").alias("key")).distinct().withColumn("listed", F.lit(True))
     keys = stored(universe.join(listed, "key", "left").withColumn("listed", F.coalesce("listed", F.lit(False))), "hosts")
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
-    if keys.where("listed").count() <= max_listed:
-        blocked = is_listed(F.col("host"), cascade(keys))
-    else:
-        read = read.join(keys.withColumnRenamed("key", "host").withColumnRenamed("listed", "_listed"), "host", "left")
-        blocked = F.col("_listed")
-    own = F.when(blocked, F.lit("block")).otherwise(F.lit("allow"))
-    return read.select(key, "host", "path", rule.alias("rule"), F.coalesce(verdict, own).alias("verdict"))
+
+    def judged(rows: DataFrame, levels: list[Level]) -> DataFrame:
+        own = F.when(is_listed(F.col("host"), levels), F.lit("block")).otherwise(F.lit("allow"))
+        return rows.select(key, "host", "path", rule.alias("rule"), F.coalesce(verdict, own).alias("verdict"))
+
+    shards = -(-keys.where("listed").count() // shard_listed)
+    if shards <= 1:
+        return judged(read, cascade(keys))
+    keys = stored(keys.withColumn("shard", _shard(F.col("key"), shards)), "sharded_hosts", "shard")
+    read = stored(read.withColumn("shard", _shard(F.col("host"), shards)), "sharded_pages", "shard")
+    parts = [stored(judged(read.where(F.col("shard") == k), cascade(keys.where(F.col("shard") == k).drop("shard"))), "judged") for k in range(shards)]
+    return reduce(DataFrame.unionAll, parts)
+
+
+def _shard(host: Column, shards: int) -> Column:
+    """A shard number by a hash that no level uses."""
+    return F.pmod(F.xxhash64(F.lit("shard"), host), F.lit(shards)).cast("int")
 
 
 def oracle(rules=RULES, terms=LISTED_TERMS) -> str:

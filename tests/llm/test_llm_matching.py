@@ -38,8 +38,8 @@ URLS = [
 
 def test_odd_urls(spark):
     pages = spark.createDataFrame([(a, b, "clash", "clash") for a, b in URLS], "page_id long, url string, host string, listed string")
-    for most in (0, 10):
-        judged = url_filter.judge(pages, url_filter.listed_hosts(pages), max_listed=most)
+    for most in (1, 2, 10):
+        judged = url_filter.judge(pages, url_filter.listed_hosts(pages), shard_listed=most)
         found = sorted({tuple(r) for r in judged.collect()}, key=str)
         assert judged.count() == len(URLS)
         assert found == sorted(
@@ -57,6 +57,19 @@ def test_odd_urls(spark):
     assert url_filter.judge(nothing, url_filter.listed_hosts(nothing)).collect() == []
 
 
+def test_shards_answer_like_the_list(spark):
+    """A list of 3,000 hosts in shards of 700; a third of the pages are of one host."""
+    host = F.when(F.col("id") % 3 == 0, F.lit("hot.org")).otherwise(F.concat(F.lit("h"), F.col("id") % 9_000, F.lit(".org")))
+    pages = stored(spark.range(30_000).select(F.col("id").alias("page_id"), F.concat(F.lit("https://"), host, F.lit("/a")).alias("url")), "p")
+    listed = spark.range(3_000).select(F.concat(F.lit("h"), F.col("id") * 3 + 1, F.lit(".org")).alias("host"))
+    judged = url_filter.judge(pages, listed, shard_listed=700)
+    plan = judged._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Exchange" not in plan and plan.count("Scan parquet") == 5
+    wrong = judged.where((F.col("verdict") == "block") != (F.regexp_extract("host", "^h([0-9]+)", 1).try_cast("long") % 3 == 1))
+    assert judged.count() == 30_000 and wrong.count() == 0
+    assert judged.where("host = 'hot.org' and verdict = 'allow'").count() == 10_000
+
+
 def test_cascade_is_exact(spark):
     keys = stored(spark.range(6_000).select(F.concat(F.lit("h"), "id").alias("key"), (F.col("id") % 7 == 0).alias("listed")), "k")
     levels = url_filter.cascade(keys)
