@@ -109,17 +109,14 @@ def _escaped(text):
     return text
 
 
-def feeds_from_documents(documents: DataFrame) -> DataFrame:
-    """Documents as RSS feeds, one feed page per source and block of document numbers, whole texts as titles.
-
-    Only English articles carry a date and French ones have no link element, as in ``news_from_documents``.
-    """
+def _item_element():
+    """A document as an RSS item, its whole text as the title."""
 
     def element(name: str, value, attributes: str = ""):
         return F.concat(F.lit(f"<{name}{attributes}>"), _escaped(value), F.lit(f"</{name}>"))
 
     nothing = F.lit("")
-    item = F.concat(
+    return F.concat(
         F.lit("<item>"),
         element("title", F.col("text")),
         F.when(F.col("lang") == "fr", nothing).otherwise(element("link", F.col("doc_id").cast("string"))),
@@ -130,6 +127,15 @@ def feeds_from_documents(documents: DataFrame) -> DataFrame:
         element("source", F.col("lang"), ' url="https://example.org/"'),
         F.lit("</item>"),
     )
+
+
+def feeds_from_documents(documents: DataFrame) -> DataFrame:
+    """Documents as RSS feeds, one feed page per source and block of document numbers, whole texts as titles.
+
+    Only English articles carry a date and French ones have no link element, as in ``news_from_documents``.
+    """
+
+    item = _item_element()
     pages = (
         documents.withColumn("ticker", F.col("source"))
         .withColumn("part", F.floor(F.col("doc_id") / ITEMS_PER_DOCUMENT).cast("bigint"))
@@ -144,3 +150,11 @@ def feeds_from_documents(documents: DataFrame) -> DataFrame:
     )
     status = F.when(F.col("ticker") == UNANSWERED_SOURCE, 503).otherwise(200)
     return pages.select("ticker", status.alias("status"), body.alias("body"), "part")
+
+
+def feed_files_from_documents(documents: DataFrame, folder: str) -> None:
+    """Documents as feed files of any length, a folder per source: each source's items in the order of their numbers, over the
+    files of as many tasks as the rows are dealt to. Rows without a source are left out."""
+    items = documents.where("source is not null").select(F.col("source").alias("ticker"), "doc_id", _item_element().alias("value"))
+    ordered = items.repartitionByRange("ticker", "doc_id").sortWithinPartitions("ticker", "doc_id").select("ticker", "value")
+    ordered.write.partitionBy("ticker").text(folder)

@@ -200,6 +200,8 @@ UNION ALL SELECT 'moment', o_orderkey, CAST(o_orderdate + INTERVAL 23 HOURS AS D
     "last_bars": f"""WITH {PRICES} SELECT * FROM prices
 QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY seq DESC) <= 2""",
     "feed_items": f"WITH {FED_NEWS} SELECT * EXCLUDE (seq) FROM fed",
+    "feed_file_items": f"""WITH {NEWS}
+SELECT * EXCLUDE (seq), row_number() OVER (ORDER BY ticker, seq) AS position FROM news WHERE ticker IS NOT NULL""",
     "news_from_xml": f"WITH {KEPT_NEWS} SELECT * EXCLUDE (seq) FROM kept",
     "first_articles": f"""WITH {NEWS} SELECT * FROM news
 QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY seq) = 1""",

@@ -13,7 +13,7 @@ from tapeline.plans import metrics, news as news_plans, prices as price_plans, q
 from tapeline.session import new_folder
 from tapeline.settings import Thresholds
 from tapeline.sinks import tables
-from tapeline.sources import documents as decoders, landing, manifest
+from tapeline.sources import documents as decoders, feed_files, landing, manifest
 from tapeline.sources.documents import decode_payloads
 
 # Thresholds under which the provided tables pass some checks and fail others.
@@ -223,6 +223,15 @@ def feed_items(spark, folder):
     return news_plans.feed_items(feeds(spark, folder)).drop("seq")
 
 
+@query
+def feed_file_items(spark, folder):
+    """Feed files read in splits, their items numbered in the order of tickers, files and places."""
+    landed = new_folder(spark, "feeds")
+    bindings.feed_files_from_documents(bindings.table(spark, folder, "documents"), landed)
+    items = feed_files.feed_file_items(spark, landed)
+    return ordering.running_number(items, ordering.in_order("ticker", "seq"), "position").drop("seq")
+
+
 @query
 def news_from_xml(spark, folder):
     return news_plans.build_news(feeds(spark, folder)).drop("seq")

@@ -32,10 +32,9 @@ XML_OPTIONS = {
 
 # Complete item elements, wherever they stand in a feed.
 ITEMS = r"(?s)<item(?:\s[^>]*)?/>|<item(?:\s[^>]*)?>.*?</item\s*>"
-# An ampersand that begins no reference and is not in a CDATA section.
-STRAY_AMPERSAND = (
-    r"(?s)&(?!(?:amp|lt|gt|quot|apos|#[0-9]+|#x[0-9A-Fa-f]+);)(?!(?:(?!<!\[CDATA\[).)*?\]\]>)"
-)
+# An ampersand that begins no reference.
+STRAY_AMPERSAND = r"&(?!(?:amp|lt|gt|quot|apos|#[0-9]+|#x[0-9A-Fa-f]+);)"
+CDATA_START, CDATA_END = "<![CDATA[", "]]>"
 # CDATA sections (kept), and tags of all elements but the item and its four fields.
 OTHER_TAGS = r"(?s)(<!\[CDATA\[.*?\]\]>)|</?(?!(?:item|title|link|pubDate|source)[\s/>])[A-Za-z][^>]*>"
 
@@ -206,8 +205,13 @@ def decode_feeds(feeds: DataFrame, keep_first: int | None = None) -> DataFrame:
     if keep_first is not None:
         items = F.slice(items, 1, keep_first)
     cut = documents.select(*keys, F.posexplode(items).alias("pos", "text"))
-    plain = F.regexp_replace(F.regexp_replace("text", STRAY_AMPERSAND, "&amp;"), OTHER_TAGS, "$1")
-    read = evaluated(cut, [*keys, "pos"], F.struct(F.from_xml(plain, schemas.FEED_ITEM, XML_OPTIONS).alias("item")))
+    return read_items(cut.select("ticker", "text", ordinal(cut, F.col("pos")).alias("seq")))
+
+
+def read_items(items: DataFrame) -> DataFrame:
+    """Item elements ``(ticker, text, seq)`` to articles; items that cannot be read are left out."""
+    plain = F.regexp_replace(_without_stray_ampersands(F.col("text")), OTHER_TAGS, "$1")
+    read = evaluated(items, ["ticker", "seq"], F.struct(F.from_xml(plain, schemas.FEED_ITEM, XML_OPTIONS).alias("item")))
     item = F.col("item")
     rows = read.where(item[schemas.UNREADABLE].isNull())
     absent = F.lit(wording.ABSENT)
@@ -219,5 +223,22 @@ def decode_feeds(feeds: DataFrame, keep_first: int | None = None) -> DataFrame:
         .alias("publisher"),
         F.coalesce(item["pubDate"], absent).alias("published_date"),
         F.coalesce(item["link"], F.lit("")).alias("link"),
-        ordinal(rows, F.col("pos")).alias("seq"),
+        "seq",
     )
+
+
+def _without_stray_ampersands(text: Column) -> Column:
+    """Ampersands outside of CDATA sections that begin no reference, escaped. The text is cut at the starts of sections; of each
+    piece only what follows the section's end is looked at, so each character is read once however many ampersands there are."""
+
+    def escaped(part: Column) -> Column:
+        return F.regexp_replace(part, STRAY_AMPERSAND, "&amp;")
+
+    def after_start(piece: Column) -> Column:
+        end = F.instr(piece, CDATA_END)
+        section, rest = F.substr(piece, F.lit(1), end - 1), F.substr(piece, end)
+        return F.when(end > 0, F.concat(section, escaped(rest))).otherwise(escaped(piece))
+
+    pieces = F.split(text, r"<!\[CDATA\[")
+    cut = F.transform(pieces, lambda piece, i: F.when(i == 0, escaped(piece)).otherwise(after_start(piece)))
+    return F.when(F.contains(text, F.lit("&")), F.array_join(cut, CDATA_START)).otherwise(text)
