@@ -308,3 +308,7 @@ SELECT (SELECT count(DISTINCT year(date)) FROM prices) AS batches, (SELECT count
   UNION ALL SELECT 'quality_lines', count(*) FROM lines)
 SELECT *, 'sections/' || section || '/run_date=20010801' AS place, true AS has_size FROM sizes""",
 }
+
+ORACLE["observed_metrics"] = ORACLE["price_metrics"]
+ORACLE["observed_counts"] = f"""SELECT news.* RENAME (preview AS news_preview), returns.*
+FROM ({ORACLE["news_metrics"]}) news, ({ORACLE["returns_metrics"]}) returns"""

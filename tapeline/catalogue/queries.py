@@ -12,7 +12,7 @@ from tapeline.operators import duplicates, ordering, single_rows, sketches
 from tapeline.plans import metrics, news as news_plans, prices as price_plans, quality, recap, returns as return_plans
 from tapeline.session import new_folder
 from tapeline.settings import Thresholds
-from tapeline.sinks import tables
+from tapeline.sinks import commits, tables
 from tapeline.sources import documents as decoders, feed_files, landing, manifest
 from tapeline.sources.documents import decode_payloads
 
@@ -383,6 +383,27 @@ def price_metrics(spark, folder):
     return metrics.price_metrics(prices(spark, folder), wide_universe(spark, folder))
 
 
+@query
+def observed_metrics(spark, folder):
+    """The price metrics with rows and dates taken while the prices are written, symbols counted from the stored table."""
+    root = new_folder(spark, "observed")
+    version = tables.prepare(prices(spark, folder), root, "prices", day="date", observe=metrics.price_observations())
+    written = commits.commit(version)
+    return metrics.price_metrics(written, wide_universe(spark, folder), root=root, observed=version.observed)
+
+
+@query
+def observed_counts(spark, folder):
+    """The counts of the news and returns metrics from the jobs that write them."""
+    root = new_folder(spark, "observed")
+    told = tables.prepare(news_plans.build_news(feeds(spark, folder)), root, "news", compact=True, observe=metrics.news_observations())
+    made = tables.prepare(returns_of(spark, folder), root, "returns", observe=metrics.returns_observations())
+    return single_rows.combine(
+        metrics.news_metrics(commits.commit(told), observed=told.observed).withColumnRenamed("preview", "news_preview"),
+        metrics.returns_metrics(commits.commit(made), made.observed),
+    )
+
+
 @query
 def news_metrics(spark, folder):
     return metrics.news_metrics(news_plans.build_news(feeds(spark, folder)))

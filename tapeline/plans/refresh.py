@@ -59,19 +59,24 @@ def _refresh(
     """``refresh`` with ``work`` for intermediates."""
     spark = universe.sparkSession
     stored: dict[str, DataFrame] = {}
-    stored["news"] = tables.materialise(
-        build_news(feeds, universe, keep_first), root, "news", compact=True
+    news = tables.prepare(
+        build_news(feeds, universe, keep_first), root, "news", compact=True, observe=metrics.news_observations()
     )
+    stored["news"] = commits.commit(news)
     window_end = as_of if limit_to_window else None
     # Prices are written once; a refresh without any price does not commit them and leaves the stored ones in place.
-    prices = tables.prepare(build_prices(payloads, universe, window_end, keep_last), root, "prices", day="date")
+    bars = build_prices(payloads, universe, window_end, keep_last)
+    prices = tables.prepare(bars, root, "prices", day="date", observe=metrics.price_observations())
     try:
         require_prices(prices.df)
     except NoPriceData:
         discard(spark, prices.path)
         raise
     stored["prices"] = commits.commit(prices)
-    stored["returns"] = tables.materialise(build_returns(stored["prices"], root=work), root, "returns")
+    returns = tables.prepare(
+        build_returns(stored["prices"], root=work), root, "returns", observe=metrics.returns_observations()
+    )
+    stored["returns"] = commits.commit(returns)
 
     report = quality_checks(stored["prices"], stored["returns"], universe, thresholds)
     stored["quality_checks"] = tables.materialise(report.checks, root, "quality_checks")
@@ -87,9 +92,9 @@ def _refresh(
     sections = recap(stored["returns"], stored["news"], report, as_of, work).sections()
     tables.write_recap(sections, folder, run_date)
     stored["recap_metrics"] = tables.recap_metrics(spark, folder, run_date, list(sections))
-    lines = metrics.price_metrics(stored["prices"], universe, root=work)
+    lines = metrics.price_metrics(stored["prices"], universe, root=work, observed=prices.observed)
     stored["price_metrics"] = tables.materialise(lines, root, "price_metrics")
-    stored["news_metrics"] = metrics.news_metrics(stored["news"], universe)
-    stored["returns_metrics"] = metrics.returns_metrics(stored["returns"])
+    stored["news_metrics"] = metrics.news_metrics(stored["news"], universe, news.observed)
+    stored["returns_metrics"] = metrics.returns_metrics(stored["returns"], returns.observed)
     stored["quality_metrics"] = metrics.quality_metrics(report.summary)
     return stored

@@ -12,7 +12,7 @@ Two writers at a time both store whole versions; the last to commit wins.
 from __future__ import annotations
 
 import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, types as T
 
@@ -24,11 +24,13 @@ ABANDONED_HOURS = 24
 
 @dataclass(frozen=True)
 class Version:
-    """A stored version of a dataset, visible to readers once it is committed."""
+    """A stored version of a dataset, visible to readers once it is committed. ``observed`` holds what was asked of its rows
+    while they were written."""
 
     dataset: str
     name: str
     df: DataFrame
+    observed: dict = field(default_factory=dict)
 
     @property
     def path(self) -> str:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from tapeline.functions import dates, numbers
 from tapeline.sinks import commits
@@ -19,18 +20,28 @@ def dataset_path(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{name}"
 
 
-def prepare(df: DataFrame, root: str, name: str, compact: bool = False, day: str | None = None) -> commits.Version:
+def prepare(
+    df: DataFrame, root: str, name: str, compact: bool = False, day: str | None = None, observe: dict[str, Column] | None = None
+) -> commits.Version:
     """Store a dataset beside its present version, which readers keep until ``commits.commit``.
 
     ``compact`` is for datasets far smaller than the documents they come from: rows are rebalanced into files of the
     adaptive planner's target size instead of one small file per input split. With ``day``, a date column, rows are dealt by
     month, a month with many rows to several tasks, and stored in a folder per month in the order of their days, for
     ``reload_window``. Rows without a day have a folder of their own.
+
+    ``observe`` names aggregates that the write job computes beside its work, found in the version's ``observed``. They are taken
+    in the last stage, behind every exchange, where Spark counts each partition once however often its task is repeated.
     """
+    observation = Observation() if observe else None
+    watched = lambda rows: rows.observe(observation, *[c.alias(k) for k, c in observe.items()]) if observe else rows
+    folder = dataset_path(root, name)
     if day is not None:
-        dealt = df.withColumn(MONTH, month_number(F.col(day))).hint("rebalance", MONTH)
-        return commits.write(dealt.sortWithinPartitions(MONTH, day), dataset_path(root, name), MONTH)
-    return commits.write(df.hint("rebalance") if compact else df, dataset_path(root, name))
+        dealt = watched(df.withColumn(MONTH, month_number(F.col(day))).hint("rebalance", MONTH))
+        version = commits.write(dealt.sortWithinPartitions(MONTH, day), folder, MONTH)
+    else:
+        version = commits.write(watched(df.hint("rebalance") if compact else df), folder)
+    return replace(version, observed=observation.get) if observe else version
 
 
 def materialise(df: DataFrame, root: str, name: str, compact: bool = False, day: str | None = None) -> DataFrame:
