@@ -111,6 +111,37 @@ def test_unnamed_keys_are_found(spark, tmp_path):
     assert network.recall >= secrets.RECALL and network.precision > 0.9
 
 
+def test_every_finding_is_learnt_from(spark):
+    """More findings than were once drawn of either label."""
+    generator = random.Random(4)
+    value = lambda: "".join(generator.choices("abcdefghijklmnopqrstuvwxyz0123456789", k=20))
+    texts = [" ".join(f"token={value()} {value()}" for _ in range(50)) for _ in range(70)]
+    rows = [(i, t, "aa") for i, t in enumerate([*texts, texts[0], None])]
+    expected = set()
+    for t in texts:
+        base = secrets.base_findings(t)
+        expected |= {(1, x) for _, _, e, v in base for x in secrets.windows(t, v, e)}
+        expected |= {(0, x) for s, e, beyond in secrets.open_runs(t, base) if not beyond for x in secrets.windows(t, s, e)}
+    shards, count = secrets.dealt(stored(secrets.candidates(odd.documents(spark, rows)), "c"))
+    dealt = [(k, x[i * secrets.WIDTH :][: secrets.WIDTH]) for _, x, labels in shards.collect() for i, k in enumerate(labels)]
+    assert len(expected) == 7000 and sorted(dealt) == sorted(expected) and count == 2
+    made = (np.zeros((3, secrets.WIDTH), np.uint8), np.uint8([1, 0, 0]))
+    used = secrets.Dealt(shards, count, made).sums(lambda x: np.array([sum(map(len, x.chosen(None, 11))), *map(len, x.chosen(None, 11))]))
+    assert used[0] == 7000 + 2 * 3 and abs(used[1] - 5600) < 10 and abs(used[2] - 1400) < 10
+
+
+def test_shards_learn_one_network(spark):
+    rows, hidden = planted()
+    found = stored(secrets.candidates(odd.documents(spark, rows)), "c")
+    assert secrets.dealt(found, 100)[1] > 2
+    network, again = secrets.learn(found, 100), secrets.learn(found.repartition(5), 100)
+    assert network.recall >= secrets.RECALL and network.precision > 0.9
+    assert network.threshold == again.threshold and (network.table == again.table).all()
+    spans = {r.doc_id: r.spans for r in secrets.findings(found, network).collect()}
+    assert sum("network" in spans[i] for i in hidden) >= secrets.RECALL * len(hidden) - 1
+    assert sum("network" in x for i, x in spans.items() if i not in hidden) <= 2
+
+
 def test_threshold_keeps_the_recall_of_overlapping_classes():
     generator = random.Random(8)
     value = lambda letters: "".join(generator.choices(letters, k=20))
