@@ -11,7 +11,7 @@ period is the run: a multiple of a run's period spans the same words.
 
 Tiles are only solved where the first words after the boundary repeat at the period, which one array comparison per octave tells
 for all documents of a batch. Fragments of a document are joined in the task before they are sent, and those too short for a run
-stay where the task saw the whole document. Documents above LONG_BYTES are exploded into rows of tiles that are dealt over the
+or of a multiple of another's period stay where the task saw the whole document. Documents above LONG_BYTES are exploded into rows of tiles that are dealt over the
 cluster, so that a very long text is not one task's work. Words are compared by 64-bit hashes.
 
 Defined cases: null and empty texts and texts without words have no words and no runs. A null id is not altered by ``planted``.
@@ -159,8 +159,14 @@ def _altered(batch: pa.RecordBatch, planting: Planting | None) -> tuple[np.ndarr
     return held, words.bounds
 
 
+def smallest(rows: np.ndarray) -> np.ndarray:
+    """Of rows that span the same words of a document, the one of smallest period; by document."""
+    rows = rows[np.lexsort((rows[:, 1], rows[:, 3], rows[:, 2], rows[:, 0]))]
+    return rows[np.r_[True, (np.diff(rows[:, [0, 2, 3]], axis=0) != 0).any(1)]] if len(rows) else rows
+
+
 def _found(words: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """Runs of whole documents, rows of (document, period, start, end), by document; multiples of periods are among them."""
+    """Runs of whole documents, rows of (document, period, start, end), by document."""
     n = np.diff(bounds)
     found = [np.zeros((0, 4), np.int64)]
     for octave in octaves(int(n.max(initial=0))):
@@ -170,7 +176,7 @@ def _found(words: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         rows[:, 0] = which[rows[:, 0]]
         found.append(rows)
     rows = joined(np.concatenate(found))
-    return rows[rows[:, 3] - rows[:, 2] >= np.maximum(LEAST, EXPONENT * rows[:, 1])]
+    return smallest(rows[rows[:, 3] - rows[:, 2] >= np.maximum(LEAST, EXPONENT * rows[:, 1])])
 
 
 def searched(docs: DataFrame, key: str = "doc_id", text: str = "text", planting: Planting | None = planted, long_bytes: int = LONG_BYTES, texts: bool = True) -> DataFrame:

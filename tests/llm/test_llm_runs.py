@@ -66,6 +66,14 @@ def test_runs(spark):
     assert answers(spark, rows) == sorted((plain(*x) for x in rows), key=str)
 
 
+def test_multiples_of_a_period_are_not_sent(spark):
+    """Of a text that its task sees whole, as many fragments leave the task as there are runs."""
+    rows = [(k, repeating(k)) for k in range(60)] + [(60, "again " * 900), (61, "one two " * 300), (62, "again " * 900), (None, "b " * 90)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    sent = {r.doc_id: sorted((x.start, x.period, x.end - x.start) for x in r.found) for r in p.searched(docs).collect()}
+    assert sent == {k: plain_runs(plain_words(k, t)) for k, t in rows} and len(sent) == len(rows)
+
+
 def test_tiles_of_long_texts(spark):
     rows = [(k, repeating(1000 + k)) for k in range(40)] + [(77, "again " * 3000), (78, " ".join(map(str, range(500))) * 5)]
     for row_words in (1, 16, 1 << 16):
